@@ -56,16 +56,20 @@ def with_group_risk(
     baselines: DataFrame,
     group: str = "provider_specialty",
     max_broadcast_rows: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
-    """Rejection rate of the claim's group; null for a null group."""
+    """Rejection rate of the claim's group; null for a null group.
+
+    ``settled`` says that ``baselines`` is a stored table and need not be stored again.
+    """
     rates = baselines.filter(
         (F.col("level") != _TOTAL_LEVEL) & F.col(group).isNotNull()
     ).select(group, F.col("rejection_rate").alias(f"{group}_risk"))
-    return attach_lookup(claims, rates, [group], max_broadcast_rows)
+    return attach_lookup(claims, rates, [group], max_broadcast_rows, settled)
 
 
 def with_baselines(claims: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
-    """Z-score and specialty risk. ``baselines`` may be a stored table from an earlier run."""
+    """Z-score and specialty risk. ``baselines`` may be a table stored by an earlier run."""
     if baselines is None:
-        baselines = settle(claim_baselines(claims))
-    return with_group_risk(with_zscore(claims, baselines), baselines)
+        baselines = settle(claim_baselines(claims), "baselines")
+    return with_group_risk(with_zscore(claims, baselines), baselines, settled=True)

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("screening",)
+_MODULES = ("screening", "decisions", "processing")
 
 Query = Callable[[SparkSession, str], DataFrame]
 

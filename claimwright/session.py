@@ -69,10 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(frame: DataFrame) -> DataFrame:
-    """Compute ``frame`` once and keep it in the shared folder."""
-    shared_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+def settle(frame: DataFrame, name: str = "settled") -> DataFrame:
+    """Compute ``frame`` once into a table in the shared folder and read it back.
+
+    The result has no lineage to recompute, and its size is known to the optimizer.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def attach_lookup(
@@ -80,13 +85,15 @@ def attach_lookup(
     lookup: DataFrame,
     keys: Sequence[str],
     max_rows: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Left-join ``lookup`` (one row per key) onto ``frame``.
 
     The lookup is computed once and counted. A small one is broadcast, so ``frame`` is not
     shuffled; a large one is joined by a salted shuffle, so a hot key is spread over tasks.
+    Pass ``settled`` for a lookup that is already a stored table.
     """
-    frozen = settle(lookup)
+    frozen = lookup if settled else settle(lookup, "lookup")
     if frozen.limit(max_rows + 1).count() <= max_rows:
         return frame.join(F.broadcast(frozen), list(keys), "left")
     return salted_left_join(frame, frozen, keys)
