@@ -9,7 +9,7 @@ from claimwright.functions.numeric import (
     share,
 )
 from claimwright.functions.inputs import Inputs
-from claimwright.functions.scorecard import Rule, Scorecard
+from claimwright.functions.scorecard import Rule, Scorecard, items_where
 
 __all__ = [
     "Inputs",
@@ -18,6 +18,7 @@ __all__ = [
     "exact_mean",
     "exact_sum",
     "half_up",
+    "items_where",
     "mean_of_flag",
     "ratio_or_zero",
     "share",

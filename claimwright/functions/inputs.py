@@ -20,16 +20,31 @@ class Inputs:
     def has(self, name: str) -> bool:
         return name in self._types
 
-    def number(self, name: str, default: float | None = None) -> Column:
-        kind = self._types.get(name)
-        if kind is None:
+    def _plain_number(self, name: str, default: float | None) -> Column:
+        if not self.has(name):
             return F.lit(default).cast("double")
-        value = F.col(name)
-        if isinstance(kind, T.StringType):
-            value = value.try_cast("double")
-        if isinstance(kind, (T.StringType, T.FloatType, T.DoubleType)):
-            value = F.when(~F.isnan(value), value)
-        return value
+        if isinstance(self._types[name], T.StringType):
+            return F.col(name).try_cast("double")
+        return F.col(name)
+
+    def _may_be_nan(self, name: str) -> bool:
+        kinds = (T.StringType, T.FloatType, T.DoubleType)
+        return isinstance(self._types.get(name), kinds)
+
+    def number(self, name: str, default: float | None = None) -> Column:
+        value = self._plain_number(name, default)
+        return F.when(~F.isnan(value), value) if self._may_be_nan(name) else value
+
+    def above(self, name: str, threshold: float, default: float | None = None) -> Column:
+        """``number > threshold``. Spark sorts NaN above every number, so NaN is excluded."""
+        value = self._plain_number(name, default)
+        if self._may_be_nan(name):
+            return (value > threshold) & ~F.isnan(value)
+        return value > threshold
+
+    def below(self, name: str, threshold: float, default: float | None = None) -> Column:
+        """``number < threshold``, which is false for NaN as it stands."""
+        return self._plain_number(name, default) < threshold
 
     def text(self, name: str, default: str | None = None) -> Column:
         return F.col(name) if self.has(name) else F.lit(default)

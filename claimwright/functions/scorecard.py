@@ -15,6 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def items_where(items: Sequence[tuple[Column, Column]]) -> Column:
+    """Array of the texts whose test is true, in order.
+
+    Built by ``concat``, which compiles, unlike the lambda behind ``array_compact``.
+    """
+    nothing = F.array().cast("array<string>")
+    return F.concat(*[F.when(test, F.array(text)).otherwise(nothing) for test, text in items])
+
+
 @dataclass(frozen=True)
 class Rule:
     code: str
@@ -30,6 +39,11 @@ class Rule:
         return F.concat(F.lit(f"{self.label} ("), self.label_detail, F.lit(")"))
 
 
+def _delta_if(test: Column, rule: Rule) -> Column:
+    # ``if`` compiles to less code than a one-branch CASE; a null test gives 0.
+    return F.call_function("if", test, F.lit(rule.delta), F.lit(0.0))
+
+
 @dataclass(frozen=True)
 class Scorecard:
     base: float
@@ -58,7 +72,7 @@ class Scorecard:
 
     def _fold(self, tests: Sequence[Column]) -> Column:
         total = reduce(
-            lambda acc, pair: acc + F.when(pair[0], F.lit(pair[1].delta)).otherwise(F.lit(0.0)),
+            lambda acc, pair: acc + _delta_if(*pair),
             zip(tests, self.rules),
             F.lit(self.base),
         )
@@ -92,10 +106,12 @@ class Scorecard:
         return F.array(*self._actions())
 
     def labels(self, with_detail: bool = True) -> Column:
-        return F.array_compact(self.label_slots(with_detail))
+        return items_where(
+            [(self.flag(r), r.label_column(with_detail)) for r in self.rules if r.label]
+        )
 
     def actions(self) -> Column:
-        return F.array_compact(self.action_slots())
+        return items_where([(self.flag(r), F.lit(r.action)) for r in self.rules if r.action])
 
     def label_text(self, separator: str = "; ") -> Column:
         return F.concat_ws(separator, *self._labelled(True))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.functions import Inputs, Rule, Scorecard, half_up
+from claimwright.functions import Inputs, Rule, Scorecard, half_up, items_where
 from claimwright.operators.labels import IN_NETWORK, OUT_OF_NETWORK
 
 # Thresholds and defaults of the decision rules.
@@ -25,23 +25,23 @@ FALLBACK_NOTE = "Manual review required - model unavailable"
 
 def approval_card(inputs: Inputs) -> Scorecard:
     """Approval probability from 0.8, clamped to [0.1, 0.98]."""
-    coding = inputs.number("coding_accuracy_score", DEFAULT_CODING)
+    coding = "coding_accuracy_score"
     network = inputs.text("network_status", IN_NETWORK)
     return Scorecard(
         base=0.8,
         rules=(
-            Rule("coding_high", coding > 0.95, 0.1),
-            Rule("coding_low", coding < 0.85, -0.2),
+            Rule("coding_high", inputs.above(coding, 0.95, DEFAULT_CODING), 0.1),
+            Rule("coding_low", inputs.below(coding, 0.85, DEFAULT_CODING), -0.2),
             Rule(
                 "completeness",
-                inputs.number("provider_data_completeness", DEFAULT_COMPLETENESS) < 0.7,
+                inputs.below("provider_data_completeness", 0.7, DEFAULT_COMPLETENESS),
                 -0.15,
             ),
             Rule("authorization", inputs.flag("prior_authorization_obtained", False), 0.08),
             Rule("eligibility", inputs.flag("eligibility_verification_completed", True), 0.05),
             Rule("network", network == OUT_OF_NETWORK, -0.25),
-            Rule("amount", inputs.number("billed_amount", DEFAULT_BILLED) > HIGH_VALUE, -0.05),
-            Rule("late", inputs.number("days_service_to_submission", DEFAULT_DAYS) > 60, -0.1),
+            Rule("amount", inputs.above("billed_amount", HIGH_VALUE, DEFAULT_BILLED), -0.05),
+            Rule("late", inputs.above("days_service_to_submission", 60, DEFAULT_DAYS), -0.1),
         ),
         low=0.1,
         high=0.98,
@@ -58,42 +58,44 @@ def rejection_reason(inputs: Inputs) -> Column:
             "eligibility_verification_failed",
         )
         .when(
-            inputs.number("provider_data_completeness", DEFAULT_COMPLETENESS) < 0.7,
+            inputs.below("provider_data_completeness", 0.7, DEFAULT_COMPLETENESS),
             "insufficient_documentation",
         )
-        .when(inputs.number("coding_accuracy_score", DEFAULT_CODING) < 0.85, "incorrect_coding")
+        .when(inputs.below("coding_accuracy_score", 0.85, DEFAULT_CODING), "incorrect_coding")
         .when(
             inputs.text("network_status", IN_NETWORK) == OUT_OF_NETWORK, "out_of_network_provider"
         )
         .when(
-            inputs.number("days_service_to_submission", DEFAULT_DAYS) > 90,
+            inputs.above("days_service_to_submission", 90, DEFAULT_DAYS),
             "timely_filing_limit_exceeded",
         )
         .otherwise("medical_necessity_not_established")
     )
 
 
-def recommendation_items(inputs: Inputs) -> list[Column]:
-    """The four possible recommendations, null where not needed."""
+def recommendation_list(inputs: Inputs) -> Column:
+    """The recommendations that apply, in fixed order."""
     # Recommendation texts.
-    return [
-        F.when(
-            inputs.number("coding_accuracy_score", DEFAULT_CODING) < 0.9,
-            "Review coding with senior coder",
-        ),
-        F.when(
-            inputs.number("provider_data_completeness", DEFAULT_COMPLETENESS) < 0.8,
-            "Request additional documentation from provider",
-        ),
-        F.when(
-            ~inputs.flag("prior_authorization_obtained", True),
-            "Obtain prior authorization before submission",
-        ),
-        F.when(
-            inputs.text("network_status", IN_NETWORK) == OUT_OF_NETWORK,
-            "Verify out-of-network benefits",
-        ),
-    ]
+    return items_where(
+        [
+            (
+                inputs.below("coding_accuracy_score", 0.9, DEFAULT_CODING),
+                F.lit("Review coding with senior coder"),
+            ),
+            (
+                inputs.below("provider_data_completeness", 0.8, DEFAULT_COMPLETENESS),
+                F.lit("Request additional documentation from provider"),
+            ),
+            (
+                ~inputs.flag("prior_authorization_obtained", True),
+                F.lit("Obtain prior authorization before submission"),
+            ),
+            (
+                inputs.text("network_status", IN_NETWORK) == OUT_OF_NETWORK,
+                F.lit("Verify out-of-network benefits"),
+            ),
+        ]
+    )
 
 
 def decision_action(probability: Column) -> Column:
@@ -175,7 +177,7 @@ def decide(claims: DataFrame, probability: Column | None = None, use_fallback: b
                 F.lit("MEDIUM"), decision_priority(p, inputs.number("billed_amount", 0.0))
             ).alias("priority"),
             either(
-                F.array(F.lit(FALLBACK_NOTE)), F.array_compact(F.array(*recommendation_items(inputs)))
+                F.array(F.lit(FALLBACK_NOTE)), recommendation_list(inputs)
             ).alias("recommendations"),
             either(billed * 0.75, expected_reimbursement(p, billed, network)).alias(
                 "expected_reimbursement"

@@ -27,13 +27,13 @@ def risk_card(inputs: Inputs) -> Scorecard:
         base=0.0,
         rules=(
             Rule("network", inputs.text("provider_network_status") == OUT_OF_NETWORK, 0.3),
-            Rule("late", inputs.number("days_to_submission") > 30, 0.2),
-            Rule("amount", inputs.number("billed_amount") > 10000, 0.2),
-            Rule("history", inputs.number("patient_previous_rejections") > 2, 0.2),
-            Rule("documents", inputs.number("documentation_quality_score") < 0.6, 0.3),
+            Rule("late", inputs.above("days_to_submission", 30), 0.2),
+            Rule("amount", inputs.above("billed_amount", 10000), 0.2),
+            Rule("history", inputs.above("patient_previous_rejections", 2), 0.2),
+            Rule("documents", inputs.below("documentation_quality_score", 0.6), 0.3),
             Rule("fraud_area", inputs.flag("high_fraud_area", False), 0.1),
             Rule("after_hours", after_hours(inputs.number("submission_hour"), 18), 0.1),
-            Rule("volume", inputs.number("provider_monthly_claims") > 150, 0.1),
+            Rule("volume", inputs.above("provider_monthly_claims", 150), 0.1),
         ),
     )
 
@@ -74,11 +74,11 @@ def with_risk(claims: DataFrame) -> DataFrame:
 
 def with_rejection_label(claims: DataFrame, draw: str = "u_label") -> DataFrame:
     """Rejection probability, label and reason; ``draw`` is uniform in [0, 1)."""
-    reasons = F.array(*[F.lit(r) for r in MEDICAL_REJECTION_REASONS])
+    reason = F.get(F.lit(MEDICAL_REJECTION_REASONS), F.col("reason_draw"))
     labelled = claims.withColumn("rejection_probability", F.least("risk", F.lit(0.9)))
     labelled = labelled.withColumn("is_rejected", F.col(draw) < F.col("rejection_probability"))
     return labelled.withColumn(
-        "rejection_reason", F.when(F.col("is_rejected"), reasons[F.col("reason_draw")])
+        "rejection_reason", F.when(F.col("is_rejected"), reason)
     )
 
 

@@ -16,13 +16,13 @@ def success_card(inputs: Inputs) -> Scorecard:
     return Scorecard(
         base=0.7,
         rules=(
-            Rule("coding", inputs.number("coding_accuracy_score") > 0.95, 0.15),
-            Rule("completeness", inputs.number("raw_data_completeness_score") > 0.9, 0.1),
+            Rule("coding", inputs.above("coding_accuracy_score", 0.95), 0.15),
+            Rule("completeness", inputs.above("raw_data_completeness_score", 0.9), 0.1),
             Rule("authorization", inputs.flag("prior_authorization_obtained", False), 0.1),
             Rule("eligibility", inputs.flag("eligibility_verification_completed", False), 0.05),
             Rule("reviewed", reviewed, 0.05),
-            Rule("enhanced", inputs.number("documentation_enhancement_score") > 0.5, 0.05),
-            Rule("missing", inputs.number("missing_elements_count") > 3, -0.2),
+            Rule("enhanced", inputs.above("documentation_enhancement_score", 0.5), 0.05),
+            Rule("missing", inputs.above("missing_elements_count", 3), -0.2),
             Rule("unclear", inputs.flag("required_provider_clarification", False), -0.15),
             Rule("tier", inputs.text("payor_relationship_tier") == "Tier_3", -0.1),
         ),

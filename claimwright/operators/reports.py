@@ -53,14 +53,21 @@ def claims_statistics(claims: DataFrame) -> DataFrame:
 
 
 def rejection_analysis(claims: DataFrame) -> DataFrame:
-    """Count and average amount per rejection reason, most frequent first."""
+    """Count and average amount per rejection reason, most frequent first.
+
+    Claims are counted conditionally instead of filtered first: a filter on a computed
+    label would be copied into the scan side of every join below it.
+    """
+    counted = F.col("is_rejected") & F.col("rejection_reason").isNotNull()
     return (
-        claims.filter(F.col("is_rejected") & F.col("rejection_reason").isNotNull())
-        .groupBy(F.col("rejection_reason").alias("reason"))
+        claims.groupBy(F.col("rejection_reason").alias("reason"))
         .agg(
-            F.count(F.lit(1)).alias("claims"),
-            ratio_or_zero(half_up(exact_mean(F.col("billed_amount")), 2)).alias("avg_amount"),
+            F.count_if(counted).alias("claims"),
+            ratio_or_zero(
+                half_up(exact_mean(F.when(counted, F.col("billed_amount"))), 2)
+            ).alias("avg_amount"),
         )
+        .filter(F.col("claims") > 0)
         .orderBy(F.desc("claims"), "reason")
     )
 
@@ -305,16 +312,22 @@ def training_summary(labelled: DataFrame) -> DataFrame:
     )
 
 
-def shares_of(frame: DataFrame, column: str, k: int | None = None) -> DataFrame:
-    """Counts of each non-null value with its share of all rows of ``frame``.
+def shares_of(
+    frame: DataFrame, column: str, k: int | None = None, among: Column | None = None
+) -> DataFrame:
+    """Counts of each non-null value with its share of all rows, or of the rows in ``among``.
 
     The total adds up the per-value counts; its subquery reuses their shuffle.
     """
-    counts = frame.groupBy(column).agg(F.count(F.lit(1)).alias("claims"))
-    total = counts.agg(F.sum("claims").alias("total")).scalar()
+    among = F.lit(True) if among is None else among
+    counts = frame.groupBy(column).agg(
+        F.count_if(among).alias("_rows"),
+        F.count_if(among & F.col(column).isNotNull()).alias("claims"),
+    )
+    total = counts.agg(F.sum("_rows").alias("total")).scalar()
     shares = (
-        counts.filter(F.col(column).isNotNull())
-        .withColumn("share", F.col("claims") / total)
+        counts.filter(F.col("claims") > 0)
+        .select(column, "claims", (F.col("claims") / total).alias("share"))
         .orderBy(F.desc("claims"), column)
     )
     return shares if k is None else shares.limit(k)

@@ -39,19 +39,19 @@ def coding_accuracy(inputs: Inputs) -> Column:
 def medical_necessity(inputs: Inputs) -> Column:
     """Documentation quality scaled by 0.9, or by 0.1 less for a high-value claim."""
     base = Scorecard(
-        0.9, (Rule("high_value", inputs.number("billed_amount", 0) > HIGH_VALUE, -0.1),)
+        0.9, (Rule("high_value", inputs.above("billed_amount", HIGH_VALUE, 0), -0.1),)
     ).score()
     return base * inputs.number("documentation_quality_score", 0.8)
 
 
 def unusual_amount(inputs: Inputs) -> Column:
     zscore = inputs.number("billed_amount_zscore", 0)
-    billed = inputs.number("billed_amount", 0)
-    return F.coalesce(F.abs(zscore) > 2.0, F.lit(False)) | (billed > 20000)
+    large = inputs.above("billed_amount", 20000, 0)
+    return F.coalesce(F.abs(zscore) > 2.0, F.lit(False)) | F.coalesce(large, F.lit(False))
 
 
 def delayed(inputs: Inputs) -> Column:
-    return inputs.number("days_to_submission", 0) > 60
+    return inputs.above("days_to_submission", 60, 0)
 
 
 def _fixed_point(value: Column, places: int) -> Column:
@@ -75,7 +75,7 @@ def screening_card(inputs: Inputs) -> Scorecard:
             ),
             Rule(
                 "documents",
-                documents < DOCUMENT_THRESHOLD,
+                inputs.below("documentation_quality_score", DOCUMENT_THRESHOLD, 0),
                 -0.25,
                 "Poor documentation quality",
                 _fixed_point(documents, 2),
@@ -111,7 +111,7 @@ def screening_card(inputs: Inputs) -> Scorecard:
             ),
             Rule(
                 "patient",
-                patient_rate > 0.2,
+                inputs.above("patient_rejection_rate", 0.2, 0),
                 -0.1,
                 "Patient has high rejection history",
                 F.concat(_fixed_point(patient_rate * 100.0, 1), F.lit("%")),
@@ -119,7 +119,7 @@ def screening_card(inputs: Inputs) -> Scorecard:
             ),
             Rule(
                 "specialty",
-                inputs.number("provider_specialty_risk", 0) > 0.25,
+                inputs.above("provider_specialty_risk", 0.25, 0),
                 -0.1,
                 "Provider specialty has high rejection rate",
                 action="Follow specialty-specific submission guidelines",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,26 +46,25 @@ HIGH_DOLLAR = 5000
 
 def approval_card(inputs: Inputs) -> Scorecard:
     """Approval probability used for the training label, clamped to [0.1, 0.98]."""
-    coding = inputs.number("coding_accuracy_score")
-    years = inputs.number("coder_experience_years")
+    coding, years = "coding_accuracy_score", "coder_experience_years"
     payor = inputs.text("primary_payor")
     return Scorecard(
         base=0.8,
         rules=(
-            Rule("coding_high", coding > 0.95, 0.1),
-            Rule("coding_low", coding < 0.85, -0.15),
-            Rule("coder_senior", years > 10, 0.05),
-            Rule("coder_junior", years < 3, -0.1),
+            Rule("coding_high", inputs.above(coding, 0.95), 0.1),
+            Rule("coding_low", inputs.below(coding, 0.85), -0.15),
+            Rule("coder_senior", inputs.above(years, 10), 0.05),
+            Rule("coder_junior", inputs.below(years, 3), -0.1),
             Rule("authorization", inputs.flag("prior_authorization_obtained", False), 0.08),
             Rule("eligibility", inputs.flag("eligibility_verification_completed", False), 0.05),
             Rule("qa", inputs.flag("qa_review_completed", False), 0.03),
-            Rule("enhanced", inputs.number("documentation_enhancement_score") > 0.6, 0.05),
+            Rule("enhanced", inputs.above("documentation_enhancement_score", 0.6), 0.05),
             Rule("network", inputs.text("network_status") == OUT_OF_NETWORK, -0.2),
-            Rule("completeness", inputs.number("provider_data_completeness") < 0.7, -0.15),
-            Rule("late", inputs.number("days_service_to_submission") > 60, -0.1),
-            Rule("high_dollar", inputs.number("billed_amount") > HIGH_DOLLAR, -0.05),
-            Rule("missing", inputs.number("missing_documentation_count") > 3, -0.12),
-            Rule("history", inputs.number("patient_previous_rejections") > 2, -0.08),
+            Rule("completeness", inputs.below("provider_data_completeness", 0.7), -0.15),
+            Rule("late", inputs.above("days_service_to_submission", 60), -0.1),
+            Rule("high_dollar", inputs.above("billed_amount", HIGH_DOLLAR), -0.05),
+            Rule("missing", inputs.above("missing_documentation_count", 3), -0.12),
+            Rule("history", inputs.above("patient_previous_rejections", 2), -0.08),
             Rule("medicaid", payor == "Medicaid", -0.05),
             Rule("medicare", payor == "Medicare", -0.03),
         ),
@@ -100,68 +101,105 @@ def with_approval_label(claims: DataFrame, draw: str = "u_label") -> DataFrame:
     )
 
 
-def reason_weights(inputs: Inputs) -> list[tuple[str, Column]]:
-    """Each reason with its weight for this claim, in fixed order."""
-    miscoded = inputs.number("coding_accuracy_score") < 0.9
-    # Multipliers and the conditions that apply them.
-    multipliers = {
-        "out_of_network_provider": (inputs.text("network_status") == OUT_OF_NETWORK, 5.0),
-        "missing_prior_authorization": (~inputs.flag("prior_authorization_obtained", False), 3.0),
-        "eligibility_verification_failed": (
+def _reasons() -> list[str]:
+    return [reason for reasons in REASON_WEIGHTS.values() for reason in reasons]
+
+
+def _adjustments(inputs: Inputs) -> list[tuple[Column, dict[str, float]]]:
+    """Conditions and the weight multipliers each one applies."""
+    # Multipliers by reason.
+    return [
+        (inputs.text("network_status") == OUT_OF_NETWORK, {"out_of_network_provider": 5}),
+        (
+            ~inputs.flag("prior_authorization_obtained", False),
+            {"missing_prior_authorization": 3},
+        ),
+        (
             ~inputs.flag("eligibility_verification_completed", False),
-            4.0,
+            {"eligibility_verification_failed": 4},
+        ),
+        (
+            inputs.below("provider_data_completeness", 0.7),
+            {"insufficient_documentation": 2},
+        ),
+        (
+            inputs.below("coding_accuracy_score", 0.9),
+            {"incorrect_procedure_code": 2, "incorrect_diagnosis_code": 2},
+        ),
+        (
+            inputs.above("days_service_to_submission", 60),
+            {"timely_filing_limit_exceeded": 3},
         ),
-        "insufficient_documentation": (inputs.number("provider_data_completeness") < 0.7, 2.0),
-        "incorrect_procedure_code": (miscoded, 2.0),
-        "incorrect_diagnosis_code": (miscoded, 2.0),
-        "timely_filing_limit_exceeded": (inputs.number("days_service_to_submission") > 60, 3.0),
-    }
-    weights = []
-    for reasons in REASON_WEIGHTS.values():
-        for reason, weight in reasons.items():
-            test, times = multipliers.get(reason, (F.lit(False), 1.0))
-            weights.append((reason, F.lit(weight) * F.when(test, F.lit(times)).otherwise(F.lit(1.0))))
-    return weights
+    ]
+
+
+def _weight_table(adjustments: list[tuple[Column, dict[str, float]]]) -> list[list[float]]:
+    """The weights of all reasons for every combination of conditions.
+
+    Row ``n`` holds the weights when the conditions at the set bits of ``n`` are true.
+    """
+    base = {r: w for reasons in REASON_WEIGHTS.values() for r, w in reasons.items()}
+    table = []
+    for combination in range(2 ** len(adjustments)):
+        weights = dict(base)
+        for bit, (_, multipliers) in enumerate(adjustments):
+            if combination >> bit & 1:
+                for reason, times in multipliers.items():
+                    weights[reason] *= times
+        table.append([weights[r] for r in _reasons()])
+    return table
+
+
+def _combination(adjustments: list[tuple[Column, dict[str, float]]]) -> Column:
+    bits = [
+        F.when(test, F.lit(2**bit)).otherwise(F.lit(0)) for bit, (test, _) in enumerate(adjustments)
+    ]
+    return reduce(lambda a, b: a + b, bits)
 
 
 def reason_weight_rows(claims: DataFrame, keys: list[str]) -> DataFrame:
     """Long form: one row per claim and reason with its position and weight."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("position"), F.lit(reason).alias("reason"), w.alias("weight"))
-            for i, (reason, w) in enumerate(reason_weights(Inputs(claims)))
-        ]
+    adjustments = _adjustments(Inputs(claims))
+    weights = F.get(F.lit(_weight_table(adjustments)), _combination(adjustments))
+    return claims.select(*keys, F.posexplode(weights).alias("position", "weight")).withColumn(
+        "reason", F.get(F.lit(_reasons()), F.col("position"))
     )
-    return claims.select(*keys, F.inline(entries))
 
 
 def with_reason(claims: DataFrame, draw: str = "u_reason") -> DataFrame:
     """Weighted pick of a reason for each rejected claim; ``draw`` is uniform in [0, 1).
 
-    The first reason whose running weight exceeds ``draw`` x total. Running weights are
-    added in fixed order, one column each, so that every sum is computed once.
+    The first reason whose running weight exceeds ``draw`` x total. The running weights of
+    each combination of conditions are one constant array.
     """
-    weights = reason_weights(Inputs(claims))
-    summed, names = claims, []
-    for i, (_, weight) in enumerate(weights):
-        name = f"_upto_{i}"
-        summed = summed.withColumn(name, F.col(names[-1]) + weight if names else weight)
-        names.append(name)
-    target = F.col(draw) * F.col(names[-1])
-    pick = F.coalesce(
-        *[
-            F.when(target < F.col(name), F.lit(reason))
-            for name, (reason, _) in zip(names, weights)
-        ]
+    adjustments = _adjustments(Inputs(claims))
+    running = [list(accumulate(weights)) for weights in _weight_table(adjustments)]
+    reasons = _reasons()
+    last = len(reasons) - 1
+    staged = claims.withColumn("_upto", F.get(F.lit(running), _combination(adjustments)))
+    staged = staged.withColumn("_target", F.col(draw) * F.get(F.col("_upto"), F.lit(last)))
+    # The target's place among the running weights, sorted downward, counts those above it.
+    # This keeps the expression short where a filter on the reason is pushed into a join.
+    place = F.array_position(
+        F.sort_array(F.array_append(F.col("_upto"), F.col("_target")), asc=False), F.col("_target")
     )
-    return summed.withColumn("rejection_reason", F.when(~F.col("is_approved"), pick)).drop(*names)
+    passed = F.least(F.lit(len(reasons) + 1) - place, F.lit(last)).cast("int")
+    rejected = ~F.col("is_approved") & F.col(draw).isNotNull()
+    return staged.withColumn(
+        "rejection_reason", F.when(rejected, F.get(F.lit(reasons), passed))
+    ).drop("_upto", "_target")
 
 
 def reason_category(reason: Column, approved: Column) -> Column:
-    category = F.when(approved, F.lit("approved"))
-    for name, reasons in REASON_WEIGHTS.items():
-        category = category.when(reason.isin(list(reasons)), F.lit(name))
-    return category.otherwise(F.lit("other"))
+    """Category of a reason by constant map; ``other`` for an unknown one."""
+    pairs = [
+        F.lit(text)
+        for category, reasons in REASON_WEIGHTS.items()
+        for name in reasons
+        for text in (name, category)
+    ]
+    known = F.try_element_at(F.create_map(*pairs), reason)
+    return F.when(approved, F.lit("approved")).otherwise(F.coalesce(known, F.lit("other")))
 
 
 def with_category(claims: DataFrame) -> DataFrame:

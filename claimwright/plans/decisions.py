@@ -166,8 +166,8 @@ def rejected_claims(spark, sf_dir):
 
 
 def top_rejection_reasons(spark, sf_dir):
-    rejected = labelled(spark, sf_dir).filter(~F.col("is_approved"))
-    return reports.shares_of(rejected, "rejection_reason", 5)
+    rejected = ~F.col("is_approved")
+    return reports.shares_of(labelled(spark, sf_dir), "rejection_reason", 5, among=rejected)
 
 
 def category_shares(spark, sf_dir):

@@ -16,8 +16,8 @@ _LINE_BASE = (
 )
 
 
-def _select(columns: dict[str, str], source: str, keys: list[str]) -> str:
-    texts = [f"{text} AS {name}" for name, text in columns.items()]
+def _select(columns: dict, source: str, keys: list[str]) -> str:
+    texts = [f"{derived.sql_text(column)} AS {name}" for name, column in columns.items()]
     return f"SELECT {', '.join([*texts, *keys])} FROM {source}"
 
 

@@ -6,17 +6,35 @@ division is written ``//`` as in DuckDB; Spark gets ``div``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW_KEYS = ["ok", "ln", "pk", "sk"]
 
 
-def _pick(selector: str, values: list[str | None]) -> str:
-    whens = " ".join(
-        f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values)
-    )
-    return f"CASE CAST({selector} % {len(values)} AS INT) {whens} END"
+@dataclass(frozen=True)
+class Pick:
+    """The value at ``selector`` modulo the number of values."""
+
+    selector: str
+    values: tuple[str | None, ...]
+
+    def sql(self) -> str:
+        whens = " ".join(
+            f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(self.values)
+        )
+        return f"CASE CAST({self.selector} % {len(self.values)} AS INT) {whens} END"
+
+    def column(self) -> Column:
+        # A constant array keeps the generated code small, unlike a long CASE.
+        position = F.expr(f"CAST({self.selector} % {len(self.values)} AS INT)")
+        return F.get(F.array(*[F.lit(v) for v in self.values]), position)
+
+
+def _pick(selector: str, values: list[str | None]) -> Pick:
+    return Pick(selector, tuple(values))
 
 
 def _draw(divisor: int, size: int, start: int = 0) -> str:
@@ -186,12 +204,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spark_columns(columns: dict[str, str]) -> list[str]:
-    return [
-        f"{text.replace('//', 'div').replace('VARCHAR(20)', 'STRING').replace('VARCHAR(2)', 'STRING')}"
-        f" AS {name}"
-        for name, text in columns.items()
-    ]
+def sql_text(column: str | Pick) -> str:
+    """DuckDB text of a column."""
+    return column.sql() if isinstance(column, Pick) else column
+
+
+def _spark_columns(columns: dict[str, str | Pick]) -> list[Column]:
+    found = []
+    for name, column in columns.items():
+        if isinstance(column, Pick):
+            found.append(column.column().alias(name))
+        else:
+            text = column.replace("//", "div")
+            for width in ("VARCHAR(20)", "VARCHAR(2)"):
+                text = text.replace(width, "STRING")
+            found.append(F.expr(text).alias(name))
+    return found
 
 
 def line_base(lines: DataFrame, orders: DataFrame, customers: DataFrame | None) -> DataFrame:
@@ -218,13 +246,13 @@ def line_base(lines: DataFrame, orders: DataFrame, customers: DataFrame | None)
 
 
 def _claims(
-    spark: SparkSession, sf_dir: str, columns: dict[str, str], state: bool, lines: DataFrame | None
+    spark: SparkSession, sf_dir: str, columns: dict[str, str | Pick], state: bool, lines: DataFrame | None
 ) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem") if lines is None else lines
     customers = _table(spark, sf_dir, "customer") if state else None
     base = line_base(lines, _table(spark, sf_dir, "orders"), customers)
     wanted = {k: v for k, v in columns.items() if state or k != "patient_state"}
-    return base.selectExpr(*_spark_columns(wanted), *ROW_KEYS)
+    return base.select(*_spark_columns(wanted), *ROW_KEYS)
 
 
 def medical_claims(spark, sf_dir, state=False, lines=None) -> DataFrame:
@@ -242,7 +270,7 @@ def claims_processing(spark, sf_dir, lines=None) -> DataFrame:
 
 def raw_applications(spark, sf_dir, customers=None) -> DataFrame:
     customers = _table(spark, sf_dir, "customer") if customers is None else customers
-    return customers.selectExpr(*_spark_columns(RAW_APPLICATIONS))
+    return customers.select(*_spark_columns(RAW_APPLICATIONS))
 
 
 def submission_time(days_column: str) -> Column:
