@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("screening", "decisions", "processing")
+_MODULES = ("screening", "decisions", "processing", "quality", "learning")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
