@@ -1,5 +1,6 @@
 """Run registered queries against their equivalent SQL: check.py <sf_dir> [name ...]."""
 
+import signal
 import sys
 import time
 
@@ -8,7 +9,12 @@ from claimwright.session import build_session
 from tests.compare import differences, duck
 
 
+def _too_slow(*_):
+    raise TimeoutError("over the time limit")
+
+
 def main() -> int:
+    signal.signal(signal.SIGALRM, _too_slow)
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = build_session(master="local[8]", shuffle_partitions=8, **{"spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -18,6 +24,7 @@ def main() -> int:
         if names and not any(n in name for n in names):
             continue
         start = time.perf_counter()
+        signal.alarm(90)
         try:
             frame = run(spark, sf_dir)
             if name in sql:
@@ -27,6 +34,7 @@ def main() -> int:
                 problem = None
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        signal.alarm(0)
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.perf_counter() - start:.2f}s {problem or ''}", flush=True)
     print(f"{failed} failed")

@@ -85,7 +85,10 @@ def class_weights(spark, sf_dir):
 
 
 def label_index(spark, sf_dir):
-    reasons = training_plans.labelled(spark, sf_dir).select(*ROW_KEYS, "rejection_reason")
+    # Stored first: the labels are read twice, and a filter on a stored column plans quickly.
+    reasons = features.settle(
+        training_plans.labelled(spark, sf_dir).select(*ROW_KEYS, "rejection_reason")
+    )
     rejected = reasons.filter(F.col("rejection_reason").isNotNull())
     indexer = StringIndexer(
         inputCol="rejection_reason", outputCol="label", stringOrderType="alphabetAsc"
@@ -346,7 +349,7 @@ def _catalogue_sql() -> str:
                 "is_weekend_submission": "submission_date",
                 "is_after_hours_submission": "submission_date",
             }.get(name, name)
-            count = f"count({source})" if name in have else "CAST(0 AS BIGINT)"
+            count = f"count({source})" if name in have else "0 * count(*)"
             rows.append(
                 f"SELECT '{category}' AS category, '{name}' AS feature, '{text}' AS description, "
                 f"{count} AS non_null FROM mc"
