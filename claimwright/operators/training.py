@@ -150,6 +150,12 @@ def _weight_table(adjustments: list[tuple[Column, dict[str, float]]]) -> list[li
     return table
 
 
+def _constant_table(rows: list[list[float]]) -> Column:
+    """Array of arrays of doubles as one constant expression."""
+    inner = ", ".join(f"array({', '.join(f'{v!r}D' for v in row)})" for row in rows)
+    return F.expr(f"array({inner})")
+
+
 def _combination(adjustments: list[tuple[Column, dict[str, float]]]) -> Column:
     bits = [
         F.when(test, F.lit(2**bit)).otherwise(F.lit(0)) for bit, (test, _) in enumerate(adjustments)
@@ -160,7 +166,7 @@ def _combination(adjustments: list[tuple[Column, dict[str, float]]]) -> Column:
 def reason_weight_rows(claims: DataFrame, keys: list[str]) -> DataFrame:
     """Long form: one row per claim and reason with its position and weight."""
     adjustments = _adjustments(Inputs(claims))
-    weights = F.get(F.lit(_weight_table(adjustments)), _combination(adjustments))
+    weights = F.get(_constant_table(_weight_table(adjustments)), _combination(adjustments))
     return claims.select(*keys, F.posexplode(weights).alias("position", "weight")).withColumn(
         "reason", F.get(F.lit(_reasons()), F.col("position"))
     )
@@ -176,7 +182,7 @@ def with_reason(claims: DataFrame, draw: str = "u_reason") -> DataFrame:
     running = [list(accumulate(weights)) for weights in _weight_table(adjustments)]
     reasons = _reasons()
     last = len(reasons) - 1
-    staged = claims.withColumn("_upto", F.get(F.lit(running), _combination(adjustments)))
+    staged = claims.withColumn("_upto", F.get(_constant_table(running), _combination(adjustments)))
     staged = staged.withColumn("_target", F.col(draw) * F.get(F.col("_upto"), F.lit(last)))
     # The target's place among the running weights, sorted downward, counts those above it.
     # This keeps the expression short where a filter on the reason is pushed into a join.

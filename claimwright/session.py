@@ -32,6 +32,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # Wide scorecards: fall back to per-operator code rather than methods the JIT skips.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # No call-site capture per column expression: scorecards build thousands of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:
