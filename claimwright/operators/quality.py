@@ -121,7 +121,8 @@ def duplicate_claims(
 ) -> DataFrame:
     """Claims in a group of same patient, provider, service date and procedure.
 
-    Each comes with the group size and whether it repeats the group's first claim.
+    Each comes with the group size and whether it follows the group's first claim in
+    ``order``. Claims that tie for first are all first; ``keep_first`` drops such copies.
     """
     groups = (
         claims.groupBy(*keys)

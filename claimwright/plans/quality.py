@@ -262,7 +262,7 @@ _APPLICATION_RULES = {
     "children_range": "children BETWEEN 0 AND 10",
 }
 _STAMP = "TIMESTAMP '2002-01-01' AS application_date"
-_FIRST = "row_number() OVER (PARTITION BY claim_id ORDER BY ok, ln, pk, sk)"
+_FIRST = "row_number() OVER (PARTITION BY claim_id ORDER BY ok, ln, pk, sk, billed_amount)"
 
 QUERIES = {
     "validate_claims": (
@@ -292,8 +292,8 @@ QUERIES = {
         t.over(
             "mc0",
             f"SELECT {_KEYS}, patient_id, provider_id, service_date, procedure_code, copies, "
-            "rn > 1 AS is_repeat FROM (SELECT *, count(*) OVER w AS copies, "
-            "row_number() OVER (w ORDER BY ok, ln, pk, sk) AS rn FROM mc0 WINDOW w AS "
+            "row(ok, ln, pk, sk) <> lowest AS is_repeat FROM (SELECT *, count(*) OVER w AS copies, "
+            "min(row(ok, ln, pk, sk)) OVER w AS lowest FROM mc0 WINDOW w AS "
             "(PARTITION BY patient_id, provider_id, service_date, procedure_code)) "
             "WHERE copies > 1",
         ),
