@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 # Lookups up to this many rows are broadcast; larger ones take the salted shuffle join.
 BROADCAST_ROWS = 100_000
 JOIN_SALTS = 32
+# A key with more rows than this is salted; 10^12 rows hold at most 10^5 such keys.
+HOT_ROWS = 10_000_000
 
 
 def build_session(
@@ -104,13 +107,40 @@ def attach_lookup(
 
 
 def salted_left_join(
-    frame: DataFrame, lookup: DataFrame, keys: Sequence[str], salts: int = JOIN_SALTS
+    frame: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    salts: int = JOIN_SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Left join in which each key's rows go to up to ``salts`` tasks.
+    """Left join of two large sides in which only hot keys are salted.
+
+    Keys with more than ``hot_rows`` rows are found by a count that is combined on the map
+    side. Their rows, and rows with a null key, go to up to ``salts`` tasks, and only their
+    lookup rows are repeated. There are at most rows / ``hot_rows`` such keys.
 
     The salt depends on row content and input partition only, so a retried task
     reproduces it, and identical rows from different partitions still spread out.
     """
-    salt = F.pmod(F.xxhash64(*frame.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return frame.withColumn("_salt", salt).join(spread, [*keys, "_salt"], "left").drop("_salt")
+    keys = list(keys)
+    hot = settle(
+        frame.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > hot_rows)
+        .select(*keys, F.lit(True).alias("_hot")),
+        "hot-keys",
+    )
+    few = hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    hot = F.broadcast(hot) if few else hot
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(F.xxhash64(*frame.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    marked = frame.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | any_null, spread).otherwise(F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = lookup.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+    )
+    return (
+        marked.drop("_hot").join(repeated.drop("_hot"), [*keys, "_salt"], "left").drop("_salt")
+    )
