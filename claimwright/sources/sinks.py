@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +20,25 @@ def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_table(
     frame: DataFrame, path: str, date_column: str | None = "service_date", mode: str = "append"
 ) -> None:
-    """Parquet files by month of ``date_column``, so that date filters skip folders."""
+    """Parquet files by month of ``date_column``, so that date filters skip folders.
+
+    The rebalance hint gathers each month into few files and lets adaptive execution split
+    a month that is far larger than the others.
+    """
     if date_column is None or date_column not in frame.columns:
         frame.write.mode(mode).parquet(path)
         return
-    month = F.date_format(date_column, "yyyy-MM")
-    frame.withColumn("service_month", month).write.mode(mode).partitionBy("service_month").parquet(
+    dated = frame.withColumn("service_month", F.date_format(date_column, "yyyy-MM"))
+    dated.hint("rebalance", "service_month").write.mode(mode).partitionBy("service_month").parquet(
         path
     )
 
 
+def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
+    """All batches as one frame by column name; a column a batch lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+
+
 def append_rows(frame: DataFrame, path: str, table: str | None = None) -> bool:
     """Append a batch to a parquet table; False, and no write, for an empty batch.
 

@@ -67,6 +67,23 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert back.count() == 1 and "PartitionFilters: [isnotnull" in back._jdf.queryExecution().toString()
 
 
+def test_month_write_gathers_files(spark, tmp_path):
+    rows = spark.range(4000).selectExpr(
+        "CAST(date_add(DATE'2020-01-01', CAST(id % 60 AS INT)) AS DATE) AS service_date", "id"
+    )
+    sinks.write_table(rows.repartition(12), str(tmp_path / "m"))
+    for month in ("2020-01", "2020-02"):
+        assert len(list((tmp_path / "m" / f"service_month={month}").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 4000
+
+
+def test_union_of_batches(spark):
+    one = spark.createDataFrame([(1, "a")], "id int, note string")
+    two = spark.createDataFrame([(2,)], "id int")
+    got = sinks.union_batches([one, two]).orderBy("id").collect()
+    assert [(r.id, r.note) for r in got] == [(1, "a"), (2, None)]
+
+
 def test_csv_and_fallback(spark, tmp_path):
     path = str(tmp_path / "apps")
     spark.createDataFrame(
