@@ -9,6 +9,7 @@ from claimwright.functions import Inputs, exact_sum, half_up
 from claimwright.operators import decisions, features, labels, models, training
 from claimwright.plans import decisions as training_plans
 from claimwright.plans import tables as t
+from claimwright.session import scratch_path
 from claimwright.sources import derived
 from claimwright.sources.derived import ROW_KEYS
 
@@ -137,7 +138,7 @@ def rule_accuracy(spark, sf_dir):
 def error_cost(spark, sf_dir):
     rows = _rule_predictions(spark, sf_dir)
     return models.error_cost(
-        rows, _text("is_approved"), _text("predicted"), F.col("billed_amount"), exact_sum
+        rows, _text("is_approved"), _text("predicted"), F.col("billed_amount")
     )
 
 
@@ -228,7 +229,7 @@ def model_scoring(spark, sf_dir):
     """Decisions of all claims by the approval model, after a save and load."""
     matrix, names = _matrix(spark, sf_dir, "is_approved", *_DECISION_INPUTS)
     fitted = models.train_approval(matrix, names, ROW_KEYS, forest=_FOREST)
-    folder = models.save_models({"approval": fitted}, features_folder(spark))
+    folder = models.save_models({"approval": fitted}, scratch_path(spark, "models"))
     scored = models.score_claims(matrix, models.load_model(folder, "approval"))
     return scored.select(
         *ROW_KEYS,
@@ -238,12 +239,6 @@ def model_scoring(spark, sf_dir):
     )
 
 
-def features_folder(spark):
-    from claimwright.session import scratch_path
-
-    return scratch_path(spark, "models")
-
-
 def training_report(spark, sf_dir):
     matrix, names = _matrix(
         spark, sf_dir, "is_approved", "rejection_reason", "approval_probability_actual"

@@ -29,7 +29,7 @@ def profile_counts(frame: DataFrame, date_column: str | None = None) -> DataFram
 
 
 def profile_columns(frame: DataFrame) -> DataFrame:
-    """Position, name, type, non-null count and distinct estimate basis of each column.
+    """Position, name, type and non-null count of each column.
 
     One pass over the table; the columns become rows afterwards.
     """
