@@ -79,7 +79,8 @@ class Words:
 def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, each followed by a line feed, and their offsets. Null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    closed = pc.binary_join_element_wise(texts, "", "\n")
+    empty, closing = (pa.scalar(v, pa.large_string()) for v in ("", "\n"))
+    closed = pc.binary_join_element_wise(texts, empty, closing)
     if isinstance(closed, pa.ChunkedArray):
         closed = closed.combine_chunks()
     _, offsets, data = closed.buffers()
