@@ -121,9 +121,12 @@ def runs_of(first: np.ndarray, width: int) -> np.ndarray:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch],
+    column: str = "text",
+    limit: int = SLICE_BYTES,
+    rows: int = 10_000,
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches into row ranges whose texts together have about ``limit`` bytes."""
+    """Cut batches into ranges of at most ``rows`` rows whose texts have about ``limit`` bytes."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(
             zero_copy_only=False
@@ -133,5 +136,6 @@ def slices(
         while begin < batch.num_rows:
             before = ends[begin - 1] if begin else 0
             stop = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            stop = min(stop, begin + rows)
             yield batch.slice(begin, stop - begin)
             begin = stop
