@@ -17,8 +17,7 @@ from claimwright.streaming import ingest
 
 
 def _stream(spark, sf_dir, table):
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return ingest.file_stream(spark, sf_dir, schema, f"{table}.parquet")
+    return ingest.table_stream(spark, f"{sf_dir}/{table}.parquet")
 
 
 def _claims(spark, sf_dir):
@@ -53,7 +52,7 @@ def stream_applications(spark, sf_dir):
 
 
 def stream_batch_statistics(spark, sf_dir):
-    """Statistics per micro-batch; the table is one file and so one batch."""
+    """Statistics per micro-batch; all files of the table are one batch."""
     claims = labels.labelled_claims(_claims(spark, sf_dir))
     out = _run(
         spark,

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from claimwright.operators import applications, quality
-from claimwright.operators.statistics import with_baselines
+from claimwright.operators.statistics import claim_baselines, with_group_risk, with_zscore
 from claimwright.sources.schemas import conform
 
 
@@ -29,6 +30,16 @@ def file_stream(
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stored table as a stream, whether it is one file or a folder of part files."""
+    table = spark.read.parquet(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = table.inputFiles()
+    if len(files) == 1 and unquote(files[0]).rpartition("/")[2] == name:
+        return file_stream(spark, folder, table.schema, name, files_per_batch)
+    return file_stream(spark, path, table.schema, None, files_per_batch)
+
+
 def append_stream(
     stream: DataFrame, target: str, checkpoint: str, available_now: bool = False, every: str = "30 seconds"
 ) -> StreamingQuery:
@@ -72,10 +83,15 @@ def each_batch(
     """Apply ``work`` to every micro-batch and write its result to the batch's own folder.
 
     A batch that is run again after a failure overwrites its folder, so nothing is doubled.
+    The batch is kept while it is worked on, so its source and joins are read once.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        work(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+        kept = batch.persist()
+        try:
+            work(kept).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+        finally:
+            kept.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
@@ -88,4 +104,10 @@ def batch_statistics(claims: DataFrame, target: str, checkpoint: str, **how) ->
     For statistics over all claims, pass a stored table to ``with_baselines`` instead and
     append the stream directly.
     """
-    return each_batch(claims, with_baselines, target, checkpoint, **how)
+    return each_batch(claims, _with_own_baselines, target, checkpoint, **how)
+
+
+def _with_own_baselines(batch: DataFrame) -> DataFrame:
+    """Baselines of the kept batch itself, without a stored table that would stay behind."""
+    baselines = claim_baselines(batch)
+    return with_group_risk(with_zscore(batch, baselines), baselines, settled=True)

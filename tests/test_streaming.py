@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from claimwright.operators import decisions, labels, quality
 from claimwright.operators import statistics as stats
+from claimwright.plans import registry
+from claimwright.session import attach_lookup
 from claimwright.sources import derived
 from claimwright.streaming import ingest
 
@@ -63,3 +65,44 @@ def test_stored_statistics_and_decisions_on_a_stream(spark, files, tmp_path):
     got = spark.read.parquet(out).select(columns)
     assert got.count() == batch.count()
     assert got.exceptAll(expected.select(columns)).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def folders(spark, sf_dir, tmp_path_factory):
+    """The given tables as folders of several part files."""
+    folder = tmp_path_factory.mktemp("tables")
+    for table in ("lineitem", "orders", "customer", "nation"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(3).write.parquet(
+            str(folder / f"{table}.parquet")
+        )
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "stream, batch",
+    [
+        ("stream_claims", "validate_claims"),
+        ("stream_applications", "backfill_applications"),
+        ("stream_batch_statistics", "billed_zscore"),
+        ("stream_screening", "screening_scores"),
+        ("stream_decisions", "approval_decisions"),
+    ],
+)
+def test_tables_of_part_files(spark, folders, stream, batch):
+    runs = registry.queries()
+    got, expected = runs[stream](spark, folders), runs[batch](spark, folders)
+    expected = expected.select(got.columns)
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).isEmpty()
+
+
+def test_large_lookup_on_a_stream(spark, files, tmp_path):
+    batch = spark.read.parquet(str(files / "now"))
+    lookup = batch.groupBy("provider_id").agg(F.count("*").alias("n"))
+    stream = ingest.table_stream(spark, str(files / "now"))
+    joined = attach_lookup(stream, lookup, ["provider_id"], max_rows=5)
+    out = str(tmp_path / "out")
+    ingest.append_stream(joined, out, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    expected = attach_lookup(batch, lookup, ["provider_id"]).select("ok", "ln", "pk", "sk", "n")
+    got = spark.read.parquet(out).select("ok", "ln", "pk", "sk", "n")
+    assert got.count() == batch.count() and got.exceptAll(expected).isEmpty()
