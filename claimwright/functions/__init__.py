@@ -4,6 +4,7 @@ from claimwright.functions.numeric import (
     exact_mean,
     exact_sum,
     half_up,
+    known,
     mean_of_flag,
     ratio_or_zero,
     share,
@@ -19,6 +20,7 @@ __all__ = [
     "exact_sum",
     "half_up",
     "items_where",
+    "known",
     "mean_of_flag",
     "ratio_or_zero",
     "share",

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimwright.functions import exact_mean, exact_sum, mean_of_flag
-from claimwright.session import attach_lookup
+from claimwright.functions import exact_mean, exact_sum, known, mean_of_flag
+from claimwright.session import attach_lookup, null_safe_left_join, settle
 
 DAY = "service_date"
 
@@ -30,13 +30,16 @@ def with_day(claims: DataFrame) -> DataFrame:
 
 
 def days_since_last_claim(claims: DataFrame, entity: str = "patient_id") -> DataFrame:
-    """Days since the entity's previous claim day; null on its first day."""
+    """Days since the entity's previous claim day; null on its first day.
+
+    Claims without an entity count as one entity's, and those without a date have no days.
+    """
     dated = with_day(claims)
     days = dated.select(entity, "_day").distinct()
     gaps = days.withColumn(
         "days_since_last_claim", F.col("_day") - F.lag("_day").over(_earlier(entity))
     )
-    return dated.join(gaps, [entity, "_day"], "left").drop("_day")
+    return null_safe_left_join(dated, gaps, [entity, "_day"]).drop("_day")
 
 
 def provider_monthly_trend(claims: DataFrame, provider: str = "provider_id") -> DataFrame:
@@ -66,7 +69,10 @@ def diagnosis_seasonality(claims: DataFrame, code: str = "primary_diagnosis_code
 def with_provider_history(
     claims: DataFrame, provider: str = "provider_id", label: str = "is_rejected"
 ) -> DataFrame:
-    """The provider's claims and rejection rate on all earlier days; null without any."""
+    """The provider's claims and rejection rate on all earlier days; null without any.
+
+    Claims without a provider count as one provider's.
+    """
     dated = with_day(claims)
     days = dated.groupBy(provider, "_day").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(label).alias("_rejected")
@@ -80,7 +86,7 @@ def with_provider_history(
             "earlier_rejection_rate"
         ),
     )
-    return dated.join(history, [provider, "_day"], "left").drop("_day")
+    return null_safe_left_join(dated, history, [provider, "_day"]).drop("_day")
 
 
 def peer_deviation(
@@ -111,7 +117,9 @@ def billing_consistency(claims: DataFrame, provider: str = "provider_id") -> Dat
     return claims.groupBy(provider).agg(
         F.count(F.lit(1)).alias("claims"),
         exact_mean(F.col("billed_amount")).alias("mean_amount"),
-        F.try_divide(F.stddev_samp("billed_amount"), F.avg("billed_amount")).alias("variation"),
+        F.try_divide(
+            F.stddev_samp(known(F.col("billed_amount"))), F.avg(known(F.col("billed_amount")))
+        ).alias("variation"),
     )
 
 
@@ -123,10 +131,10 @@ def provider_network(
     A link is another provider seen by the same patient, counted once per patient. Links
     are summed from the number of providers of each patient; no pairs are formed.
     """
-    seen = claims.select(patient, provider).distinct()
+    seen = settle(claims.select(patient, provider).distinct(), "seen")
     per_patient = seen.groupBy(patient).agg(F.count(F.lit(1)).alias("providers"))
     return (
-        attach_lookup(seen, per_patient, [patient])
+        attach_lookup(seen, per_patient, [patient], null_safe=True)
         .groupBy(provider)
         .agg(
             F.count(F.lit(1)).alias("patients"),
@@ -156,7 +164,7 @@ def amount_trend(claims: DataFrame, entity: str = "patient_id") -> DataFrame:
     x = _days(DAY).cast("decimal(10,0)")
     y = F.floor(F.col("billed_amount") * 10000.0 + 0.5).cast("decimal(18,0)")
     sums = (
-        claims.filter(F.col("billed_amount").isNotNull() & F.col(DAY).isNotNull())
+        claims.filter(known(F.col("billed_amount")).isNotNull() & F.col(DAY).isNotNull())
         .groupBy(entity)
         .agg(
             F.count(F.lit(1)).alias("claims"),
@@ -193,14 +201,16 @@ def geographic_movement(
 def code_lift(
     claims: DataFrame, left: str = "primary_diagnosis_code", right: str = "procedure_code"
 ) -> DataFrame:
-    """Pair count and lift of diagnosis and procedure: observed over expected frequency."""
-    pairs = claims.groupBy(left, right).agg(F.count(F.lit(1)).alias("claims"))
-    lefts = pairs.groupBy(left).agg(F.sum("claims").alias("_left"))
-    rights = pairs.groupBy(right).agg(F.sum("claims").alias("_right"))
+    """Pair count and lift of diagnosis and procedure: observed over expected frequency.
+
+    A null code is a code of its own. The windows run over one row per pair of codes.
+    """
+    pairs = settle(claims.groupBy(left, right).agg(F.count(F.lit(1)).alias("claims")), "pairs")
     total = pairs.agg(F.sum("claims")).scalar()
-    joined = pairs.join(lefts, left).join(rights, right)
-    expected = F.col("_left").cast("double") * F.col("_right").cast("double")
-    return joined.select(
+    lefts = F.sum("claims").over(Window.partitionBy(left)).cast("double")
+    rights = F.sum("claims").over(Window.partitionBy(right)).cast("double")
+    expected = F.col("_left") * F.col("_right")
+    return pairs.withColumn("_left", lefts).withColumn("_right", rights).select(
         left,
         right,
         "claims",
@@ -233,7 +243,8 @@ def with_age_band(
 ) -> DataFrame:
     """The usual age range of the procedure and whether the patient is outside it.
 
-    Percentiles are taken over the counts per age, not over the claims.
+    Percentiles are taken over the counts per age, not over the claims. A null code is a
+    procedure of its own.
     """
     ages = claims.groupBy(code, "patient_age").agg(F.count(F.lit(1)).alias("_n"))
     bands = ages.groupBy(code).agg(
@@ -243,7 +254,26 @@ def with_age_band(
         code, F.get("_band", F.lit(0)).alias("age_low"), F.get("_band", F.lit(1)).alias("age_high")
     )
     outside = (F.col("patient_age") < F.col("age_low")) | (F.col("patient_age") > F.col("age_high"))
-    return attach_lookup(claims, bands, [code]).withColumn("age_unusual", outside)
+    return attach_lookup(claims, bands, [code], null_safe=True).withColumn("age_unusual", outside)
+
+
+def with_gender_share(
+    claims: DataFrame,
+    code: str = "procedure_code",
+    gender: str = "patient_gender",
+    unusual_below: float = 0.05,
+) -> DataFrame:
+    """The share of the patient's gender among the procedure's claims, and whether it is unusual.
+
+    Null codes and genders are values of their own.
+    """
+    counts = claims.groupBy(code, gender).agg(F.count(F.lit(1)).alias("_n"))
+    rates = counts.select(
+        code, gender, (F.col("_n") / F.sum("_n").over(Window.partitionBy(code))).alias("gender_share")
+    )
+    return attach_lookup(claims, rates, [code, gender], null_safe=True).withColumn(
+        "gender_unusual", F.col("gender_share") < unusual_below
+    )
 
 
 def with_amount_norms(
@@ -251,16 +281,47 @@ def with_amount_norms(
     diagnosis: str = "primary_diagnosis_code",
     procedure: str = "procedure_code",
 ) -> DataFrame:
-    """Amount against the diagnosis norm (z-score) and the procedure's mean (ratio)."""
-    norms = claims.groupBy(diagnosis).agg(
-        F.avg("billed_amount").alias("_mean"), F.stddev_samp("billed_amount").alias("_std")
+    """Amount against the diagnosis norm (z-score) and the procedure's mean (ratio).
+
+    One pass over the claims gives a small table per pair of codes, from which both norms
+    are put together, and one pass joins them back. NaN amounts are left out and get null.
+    """
+    amount = known(F.col("billed_amount"))
+    units = F.floor(amount * 10000.0 + 0.5).cast("decimal(18,0)")
+    cells = settle(
+        claims.groupBy(diagnosis, procedure).agg(
+            F.count(amount).alias("_n"),
+            F.avg(amount).alias("_mean"),
+            F.var_pop(amount).alias("_spread"),
+            F.sum(units).alias("_units"),
+        ),
+        "amounts",
+    ).filter("_n > 0")
+    whole = Window.partitionBy(diagnosis)
+    centre = F.sum(F.col("_n") * F.col("_mean")).over(whole) / F.sum("_n").over(whole)
+    norms = (
+        cells.withColumn("_centre", centre)
+        .groupBy(diagnosis)
+        .agg(
+            F.first("_centre").alias("_mean"),
+            F.sum("_n").alias("_n"),
+            F.sum(
+                F.col("_n") * (F.col("_spread") + F.pow(F.col("_mean") - F.col("_centre"), F.lit(2)))
+            ).alias("_squares"),
+        )
+        .select(
+            diagnosis, "_mean", F.sqrt(F.try_divide(F.col("_squares"), F.col("_n") - 1)).alias("_std")
+        )
+    )
+    market = cells.groupBy(procedure).agg(
+        (F.sum("_units").cast("double") / 10000.0 / F.sum("_n").cast("double")).alias("_market")
     )
-    market = claims.groupBy(procedure).agg(exact_mean(F.col("billed_amount")).alias("_market"))
-    joined = attach_lookup(attach_lookup(claims, norms, [diagnosis]), market, [procedure])
+    joined = attach_lookup(claims, norms, [diagnosis], null_safe=True)
+    joined = attach_lookup(joined, market, [procedure], null_safe=True)
     return joined.withColumns(
         {
-            "diagnosis_zscore": F.try_divide(F.col("billed_amount") - F.col("_mean"), F.col("_std")),
-            "market_ratio": F.try_divide(F.col("billed_amount"), F.col("_market")),
+            "diagnosis_zscore": F.try_divide(amount - F.col("_mean"), F.col("_std")),
+            "market_ratio": F.try_divide(amount, F.col("_market")),
         }
     ).drop("_mean", "_std", "_market")
 

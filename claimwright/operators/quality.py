@@ -122,14 +122,17 @@ def duplicate_claims(
     """Claims in a group of same patient, provider, service date and procedure.
 
     Each comes with the group size and whether it follows the group's first claim in
-    ``order``. Claims that tie for first are all first; ``keep_first`` drops such copies.
+    ``order``. Claims that tie for first are all first; ``keep_first`` drops such copies. Null
+    keys are equal to each other.
     """
     groups = (
         claims.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*order)).alias("_first"))
         .filter(F.col("copies") > 1)
     )
-    marked = attach_lookup(claims, groups, list(keys)).filter(F.col("copies").isNotNull())
+    marked = attach_lookup(claims, groups, list(keys), null_safe=True).filter(
+        F.col("copies").isNotNull()
+    )
     return marked.withColumn("is_repeat", F.struct(*order) != F.col("_first")).drop("_first")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.functions import mean_of_flag
+from claimwright.functions import known, mean_of_flag
 from claimwright.session import BROADCAST_ROWS, attach_lookup, settle
 
 _TOTAL_LEVEL = 1
@@ -19,15 +19,16 @@ def claim_baselines(
 ) -> DataFrame:
     """Amount statistics and rejection rate per group and overall, in one pass.
 
-    ``rollup`` adds the whole-table row, so the claims are read once for both uses.
+    ``rollup`` adds the whole-table row, so the claims are read once for both uses. Amounts
+    that are NaN are left out.
     """
     return (
         claims.rollup(group)
         .agg(
             F.grouping_id().alias("level"),
             F.count(F.lit(1)).alias("claims"),
-            F.avg(amount).alias("amount_mean"),
-            F.stddev_samp(amount).alias("amount_std"),
+            F.avg(known(F.col(amount))).alias("amount_mean"),
+            F.stddev_samp(known(F.col(amount))).alias("amount_std"),
             mean_of_flag(F.col(label)).alias("rejection_rate"),
         )
     )
@@ -38,7 +39,7 @@ def with_zscore(
 ) -> DataFrame:
     """Amount z-score against the whole-table row of ``baselines`` (sample deviation).
 
-    Null where the deviation is 0 or undefined.
+    Null where the amount is null or NaN, or the deviation is 0 or undefined.
     """
     overall = baselines.filter(F.col("level") == _TOTAL_LEVEL).select(
         F.struct("amount_mean", "amount_std")
@@ -46,7 +47,7 @@ def with_zscore(
     return claims.withColumn(
         f"{amount}_zscore",
         F.try_divide(
-            F.col(amount) - overall.getField("amount_mean"), overall.getField("amount_std")
+            known(F.col(amount)) - overall.getField("amount_mean"), overall.getField("amount_std")
         ),
     )
 

@@ -9,6 +9,7 @@ from claimwright.functions import Inputs, half_up
 from claimwright.operators import labels, reports, screening
 from claimwright.operators import statistics as stats
 from claimwright.plans import tables as t
+from claimwright.session import settle
 from claimwright.sources import derived
 from claimwright.sources.derived import ROW_KEYS
 
@@ -56,7 +57,7 @@ def claim_ratios(spark, sf_dir):
 
 def billed_zscore(spark, sf_dir):
     claims = labelled(spark, sf_dir)
-    scored = stats.with_zscore(claims, stats.claim_baselines(claims))
+    scored = stats.with_zscore(claims, settle(stats.claim_baselines(claims), "baselines"))
     return scored.select(
         *ROW_KEYS, half_up(F.col("billed_amount_zscore"), 6).alias("billed_amount_zscore")
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ BROADCAST_ROWS = 100_000
 JOIN_SALTS = 32
 # A key with more rows than this is salted; 10^12 rows hold at most 10^5 such keys.
 HOT_ROWS = 10_000_000
+# Paths that each session has settled.
+_settled: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
 
 
 def build_session(
@@ -84,26 +87,55 @@ def settle(frame: DataFrame, name: str = "settled") -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, name)
     frame.write.parquet(path)
+    _settled.setdefault(spark, []).append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table's files, on whatever store they are."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard_settled(spark: SparkSession) -> int:
+    """Delete all tables that ``settle`` has written in this session; how many there were.
+
+    For services and long sessions, once the results that read them have been written.
+    """
+    paths = _settled.pop(spark, [])
+    for path in paths:
+        discard(spark, path)
+    return len(paths)
+
+
 def attach_lookup(
     frame: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     max_rows: int = BROADCAST_ROWS,
     settled: bool = False,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Left-join ``lookup`` (one row per key) onto ``frame``.
+    """Left-join ``lookup`` (one row per key) onto ``frame``, a stream or a table.
 
     The lookup is computed once and counted. A small one is broadcast, so ``frame`` is not
-    shuffled; a large one is joined by a salted shuffle, so a hot key is spread over tasks.
-    Pass ``settled`` for a lookup that is already a stored table.
+    shuffled; a large one is joined by a shuffle in which adaptive execution splits the hot
+    keys of ``frame``. Pass ``settled`` for a lookup that is already a stored table, and
+    ``null_safe`` if a null key is to find the lookup's null key.
     """
     frozen = lookup if settled else settle(lookup, "lookup")
     if frozen.limit(max_rows + 1).count() <= max_rows:
-        return frame.join(F.broadcast(frozen), list(keys), "left")
-    return salted_left_join(frame, frozen, keys)
+        frozen = F.broadcast(frozen)
+    if null_safe:
+        return null_safe_left_join(frame, frozen, keys)
+    return frame.join(frozen, list(keys), "left")
+
+
+def null_safe_left_join(frame: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which null keys are equal to each other."""
+    names = {key: f"_key_{i}" for i, key in enumerate(keys)}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return frame.join(other.withColumnsRenamed(names), same, "left").drop(*names.values())
 
 
 def salted_left_join(

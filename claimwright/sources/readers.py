@@ -17,8 +17,8 @@ PUBLIC_APPLICATIONS = (
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header and a given schema. A missing path raises."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header and a given schema, NaN as null. A missing path raises."""
+    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
 
 
 def read_training_csv(

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from claimwright.functions import exact_mean, exact_sum, half_up, share
 from claimwright.operators import applications, features, history, quality, training
 from claimwright.operators import statistics as stats
-from claimwright.session import attach_lookup, salted_left_join, settle, shared_dir
+from claimwright.session import (
+    attach_lookup,
+    discard_settled,
+    salted_left_join,
+    settle,
+    shared_dir,
+)
 
 
 def _skewed(spark, rows=3000):
@@ -47,8 +53,8 @@ def test_lookup_paths_agree(spark):
     small = attach_lookup(frame, lookup, ["key"])
     large = attach_lookup(frame, lookup, ["key"], max_rows=5)
     hot = salted_left_join(frame, settle(lookup), ["key"], salts=4, hot_rows=100)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-    assert "_salt" in large._jdf.queryExecution().toString()
+    assert "strategy=broadcast" in small._jdf.queryExecution().toString()
+    assert "strategy=broadcast" not in large._jdf.queryExecution().toString()
     expected = sorted(map(repr, small.collect()))
     assert expected == sorted(map(repr, large.collect())) == sorted(map(repr, hot.collect()))
     assert small.count() == frame.count()
@@ -186,3 +192,42 @@ def test_reason_weights_and_pick(spark):
     weights = training.reason_weight_rows(claims.limit(1), ["u_reason"])
     assert abs(weights.agg(F.sum("weight")).first()[0] - 1.0) < 1e-12
     assert weights.count() == 16
+
+
+def test_null_safe_lookup(spark):
+    frame = _skewed(spark)
+    lookup = frame.groupBy("key").agg(F.count("*").alias("n"))
+    small = attach_lookup(frame, lookup, ["key"], null_safe=True)
+    large = attach_lookup(frame, lookup, ["key"], max_rows=5, null_safe=True)
+    assert small.columns == [*frame.columns, "n"]
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    nulls = frame.filter("key is null").count()
+    assert nulls and small.filter(f"key is null and n = {nulls}").count() == nulls
+
+
+def test_settled_tables_can_be_discarded(spark, tmp_path):
+    session = spark.newSession()
+    kept = settle(session.range(5), "kept")
+    assert kept.count() == 5 and discard_settled(session) == 1 and discard_settled(session) == 0
+
+
+def test_nan_amounts_are_unknown(spark):
+    rows = [("a", 100.0), ("a", 200.0), ("a", float("nan")), ("b", 300.0), ("b", None)]
+    claims = spark.createDataFrame(rows, "provider_specialty string, billed_amount double")
+    claims = claims.withColumn("is_rejected", F.lit(False))
+    base = stats.claim_baselines(claims)
+    scored = stats.with_zscore(claims, base).collect()
+    assert sorted(r.billed_amount_zscore for r in scored if r.billed_amount_zscore is not None) == [-1, 0, 1]
+    means = claims.groupBy("provider_specialty").agg(exact_mean(F.col("billed_amount")).alias("m"))
+    assert {r[0]: r[1] for r in means.collect()} == {"a": 150.0, "b": 300.0}
+
+
+def test_scans_of_the_claims(spark, sf_dir):
+    """Two scans of the claim lines where a whole-table statistic is needed, no more."""
+    from claimwright.plans import registry
+
+    for name in ("billed_zscore", "amount_norms"):
+        frame = registry.queries()[name](spark, sf_dir)
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("lineitem.parquet") <= 1, name
