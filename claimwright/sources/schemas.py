@@ -144,14 +144,16 @@ def _stored(field: Field, column: Column) -> Column:
     if field.kind == "DECIMAL":
         return half_up(column.cast("double"), field.scale).cast(f"decimal({field.size},{field.scale})")
     if field.kind == "VARCHAR":
-        return column.cast("string")
+        text = column.cast("string")
+        too_long = F.raise_error(F.concat(F.lit(f"{field.name} is longer than {field.size}: "), text))
+        return F.when(F.char_length(text) > field.size, too_long).otherwise(text)
     return column.cast(field.kind.lower())
 
 
 def conform(frame: DataFrame, table: str, with_audit: bool = True) -> DataFrame:
     """Columns of ``table`` in order, cast to the stored types; absent ones become null.
 
-    A value beyond its decimal range raises, as the store would refuse the row.
+    A value beyond its decimal range or text length raises, as the store would refuse the row.
     """
     columns = [
         (_stored(f, F.col(f.name)) if f.name in frame.columns else F.lit(None).cast(_sql_type(f)))

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from claimwright.plans import registry
 from tests.compare import differences, duck
 
-SQL = driver.oracle_sql()
-RUNS = driver.queries()
+SQL = registry.oracle_sql()
+RUNS = registry.queries()
 SLOW = {"cross_validation", "training_report", "model_scoring", "feature_importance"}
 
 
@@ -25,5 +26,9 @@ def test_gives_rows(spark, sf_dir, name):
     assert not RUNS[name](spark, sf_dir).isEmpty()
 
 
+def test_driver_has_every_query():
+    assert set(RUNS) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() == 1

@@ -150,3 +150,24 @@ def test_medical_history_and_charges(spark):
     assert [r.h for r in row] == ["smoker, obesity, senior", "none", "none"]
     assert [r.c for r in row] == [1000 + 1300 + 300 + 20000 + 1000, 1600.0, None]
     assert frame.select(F.lit(1)).count() == 3
+
+
+def test_long_text_is_refused(spark):
+    from claimwright.sources import schemas
+
+    frame = spark.createDataFrame([("x" * 60,)], "claim_id string")
+    with pytest.raises(Exception, match="claim_id is longer than 50"):
+        schemas.conform(frame, "medical_claims").collect()
+
+
+def test_batches_replace_themselves_and_empty_ones_are_refused(spark, tmp_path):
+    from claimwright.sources import sinks
+
+    path = str(tmp_path / "table")
+    rows = spark.range(10)
+    assert sinks.append_batch(rows, path, "a") == 10
+    assert sinks.append_batch(rows.filter("id < 4"), path, "b") == 4
+    assert sinks.append_batch(rows.filter("id < 7"), path, "a") == 7
+    with pytest.raises(ValueError):
+        sinks.append_batch(rows.filter("id < 0"), path, "c")
+    assert spark.read.parquet(path).count() == 11
