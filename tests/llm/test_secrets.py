@@ -8,7 +8,8 @@ import re
 import pytest
 
 from claimwright.llm import secrets as S
-from claimwright.llm.q_secrets import document_secrets
+from claimwright.llm.q_secrets import SQL, document_secrets
+from tests.compare import differences, duck
 
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -140,7 +141,8 @@ def test_spans_match_plain_version(spark, texts):
     assert sum(random_spans[160:310]) == 0  # repeated patterns are not
 
 
-def test_query_matches_plain_version(spark, sf_dir):
+def test_query_matches_plain_version(spark):
+    sf_dir = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     expected = dict(zip([d.doc_id for d in docs], plain([d.text for d in docs])))
     name = lambda spans: ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in spans)
@@ -168,3 +170,15 @@ def test_redaction_keeps_rows_and_columns(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.secrets(docs).count() == 0 and S.redact(docs).count() == 0
+
+
+def test_sql_matches_on_planted_tokens(spark, texts, tmp_path):
+    """The registered SQL, strata and bounds included, on tokens that the given tables lack."""
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "out"))
+    part = next((tmp_path / "out").glob("part-*.parquet"))
+    part.rename(tmp_path / "documents.parquet")
+    got = document_secrets(spark, str(tmp_path))
+    assert got.filter("spans like '%random%'").count() > 100
+    assert differences(got, duck(str(tmp_path)), SQL) is None
