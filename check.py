@@ -1,4 +1,4 @@
-"""Run registered queries against their equivalent SQL: check.py <sf_dir> [name ...]."""
+"""Run registered queries against their equivalent SQL: check.py [--limit SECONDS] <sf_dir> [name ...]."""
 
 import signal
 import sys
@@ -15,7 +15,10 @@ def _too_slow(*_):
 
 def main() -> int:
     signal.signal(signal.SIGALRM, _too_slow)
-    sf_dir, names = sys.argv[1], sys.argv[2:]
+    arguments, limit = sys.argv[1:], 0
+    if arguments[0] == "--limit":
+        limit, arguments = int(arguments[1]), arguments[2:]
+    sf_dir, names = arguments[0], arguments[1:]
     spark = build_session(master="local[8]", shuffle_partitions=8, **{"spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql = duck(sf_dir), registry.oracle_sql()
@@ -24,7 +27,7 @@ def main() -> int:
         if names and not any(n in name for n in names):
             continue
         start = time.perf_counter()
-        signal.alarm(90)
+        signal.alarm(limit)  # 0: none
         try:
             frame = run(spark, sf_dir)
             if name in sql:

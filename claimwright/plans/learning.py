@@ -14,8 +14,9 @@ from claimwright.sources import derived
 from claimwright.sources.derived import ROW_KEYS
 
 _KEYS = "ok, ln, pk, sk"
-# Smaller than the defaults of the training functions, which take long on a few cores.
-_FOREST = models.Forest(trees=20, depth=5)
+# Labelled rows that the registered models are fitted on at most; forests have their full size,
+# and all rows of the test part are judged. None fits on all rows.
+TRAIN_ROWS = 2_000
 
 
 def _training_claims(spark, sf_dir):
@@ -164,17 +165,17 @@ def feature_catalogue(spark, sf_dir):
 
 def _approval(spark, sf_dir):
     matrix, names = _matrix(spark, sf_dir, "is_approved")
-    return models.train_approval(matrix, names, ROW_KEYS, forest=_FOREST)
+    return models.train_approval(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
 
 
 def _reason(spark, sf_dir):
     matrix, names = _matrix(spark, sf_dir, "is_approved", "rejection_reason")
-    return models.train_reason(matrix, names, ROW_KEYS, forest=_FOREST)
+    return models.train_reason(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
 
 
 def _probability(spark, sf_dir):
     matrix, names = _matrix(spark, sf_dir, "approval_probability_actual")
-    return models.train_probability(matrix, names, ROW_KEYS, forest=_FOREST)
+    return models.train_probability(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
 
 
 def train_approval(spark, sf_dir):
@@ -212,7 +213,7 @@ def train_linear(spark, sf_dir):
 
 def cross_validation(spark, sf_dir):
     matrix, names = _matrix(spark, sf_dir, "is_approved")
-    scores = models.cross_validate(matrix, names, folds=3)
+    scores = models.cross_validate(matrix, names)
     return spark.createDataFrame([(float(s),) for s in scores], "accuracy double")
 
 
@@ -228,7 +229,7 @@ _DECISION_INPUTS = ["claim_id", "network_status"]
 def model_scoring(spark, sf_dir):
     """Decisions of all claims by the approval model, after a save and load."""
     matrix, names = _matrix(spark, sf_dir, "is_approved", *_DECISION_INPUTS)
-    fitted = models.train_approval(matrix, names, ROW_KEYS, forest=_FOREST)
+    fitted = models.train_approval(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
     folder = models.save_models({"approval": fitted}, scratch_path(spark, "models"))
     scored = models.score_claims(matrix, models.load_model(folder, "approval"))
     return scored.select(
@@ -246,9 +247,9 @@ def training_report(spark, sf_dir):
     stored = features.settle(matrix, "matrix")
     return models.training_report(
         spark,
-        models.train_approval(stored, names, ROW_KEYS, forest=_FOREST),
-        models.train_reason(stored, names, ROW_KEYS, forest=_FOREST),
-        models.train_probability(stored, names, ROW_KEYS, forest=_FOREST),
+        models.train_approval(stored, names, ROW_KEYS, train_rows=TRAIN_ROWS, settled=True),
+        models.train_reason(stored, names, ROW_KEYS, train_rows=TRAIN_ROWS, settled=True),
+        models.train_probability(stored, names, ROW_KEYS, train_rows=TRAIN_ROWS, settled=True),
     )
 
 
