@@ -1,10 +1,10 @@
-"""Loading tables: batches, a fallback source, reconciliation of a copy with gaps, payments."""
+"""Loading tables: batches, a fallback source, constraints, reconciliation of a copy, payments."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimwright.operators import training
+from claimwright.operators import quality, training
 from claimwright.plans import decisions
 from claimwright.plans import tables as t
 from claimwright.session import scratch_path
@@ -70,7 +70,82 @@ def training_payments(spark, sf_dir):
     return paid.select(*ROW_KEYS, "final_payment_amount")
 
 
+# Faults put into the clean tables, as SQL that both engines read.
+_FAULTS = {
+    "bpo_claims_training": {
+        "claim_id": "CASE WHEN ok % 89 <> 0 THEN claim_id END",
+        "billed_amount": "CASE WHEN pk % 53 = 0 THEN billed_amount * 1e7 ELSE billed_amount END",
+        "provider_specialty": "CASE WHEN sk % 7 = 0 THEN repeat(provider_specialty, 5) "
+        "ELSE provider_specialty END",
+    },
+    "bpo_claims_processing": {
+        "client_provider_id": "CASE WHEN sk % 11 <> 0 THEN client_provider_id END",
+        "raw_provider_charges": "CASE WHEN pk % 53 = 0 THEN raw_provider_charges * 1e7 "
+        "ELSE raw_provider_charges END",
+        "payor_relationship_tier": "CASE WHEN sk % 5 = 0 THEN repeat(payor_relationship_tier, 2) "
+        "ELSE payor_relationship_tier END",
+    },
+    "raw_applications": {
+        "smoker": "CASE WHEN c_custkey % 7 = 0 THEN repeat(smoker, 6) ELSE smoker END",
+        "region": "CASE WHEN c_custkey % 11 = 0 THEN repeat(region, 3) ELSE region END",
+    },
+}
+_SOURCES = {
+    "bpo_claims_training": (
+        lambda spark, sf_dir: derived.claims_training(spark, sf_dir, state=True),
+        "ct0",
+        derived.CLAIMS_TRAINING,
+    ),
+    "bpo_claims_processing": (derived.claims_processing, "cp0", derived.CLAIMS_PROCESSING),
+    "raw_applications": (derived.raw_applications, "ra", derived.RAW_APPLICATIONS),
+}
+
+
+def _report(table):
+    def run(spark, sf_dir):
+        frame = _SOURCES[table][0](spark, sf_dir)
+        return quality.quality_report(
+            frame.withColumns({n: F.expr(text) for n, text in _FAULTS[table].items()}), table
+        )
+
+    return run
+
+
+def _report_sql(table):
+    _, name, columns = _SOURCES[table]
+    tests = []
+    for f in schemas.fields(table):
+        if f.name not in columns:
+            continue
+        if f.required:
+            tests.append((f.name, "not_null", f"{f.name} IS NULL"))
+        if f.kind == "VARCHAR":
+            tests.append((f.name, "max_length", f"length({f.name}) > {f.size}"))
+        if f.kind == "DECIMAL":
+            rounded = t.half_up(f"CAST({f.name} AS DOUBLE)", f.scale)
+            tests.append((f.name, "range", f"abs({rounded}) >= 1e{f.size - f.scale}"))
+    faults = ", ".join(f"{text} AS {n}" for n, text in _FAULTS[table].items())
+    counts = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{rule}' AS rule, "
+        f"{t.count_if(test)} AS violations FROM faulty"
+        for c, rule, test in tests
+    )
+    return t.over(name, "") + f", faulty AS (SELECT * REPLACE ({faults}) FROM {name}) {counts}"
+
+
 QUERIES = {
+    "quality_report_training": (
+        _report("bpo_claims_training"),
+        _report_sql("bpo_claims_training"),
+    ),
+    "quality_report_processing": (
+        _report("bpo_claims_processing"),
+        _report_sql("bpo_claims_processing"),
+    ),
+    "quality_report_applications": (
+        _report("raw_applications"),
+        _report_sql("raw_applications"),
+    ),
     "append_batches": (
         append_batches,
         t.over(
