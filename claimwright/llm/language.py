@@ -35,7 +35,7 @@ from claimwright.session import settle
 FEATURES = 2048
 TRAIN_ROWS = 4000
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile("[A-Za-z]")
 
 # ISO 639-1 codes by family.
 FAMILIES = {
@@ -93,7 +93,11 @@ def text_features(texts: pa.Array) -> np.ndarray:
 
 
 def has_letters(texts: pa.Array) -> np.ndarray:
-    return np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], dtype=bool)
+    found = [
+        bool(t) and (_LETTER.search(t) is not None or any(c.isalpha() for c in t))
+        for t in texts.to_pylist()
+    ]
+    return np.array(found, dtype=bool)
 
 
 @dataclass

@@ -44,7 +44,7 @@ def test_predictions(spark, model):
 
 
 def test_edge_rows(spark, model):
-    rows = [(1, None), (2, ""), (3, "12 -- 34"), (4, "ß"), (None, "the and with that"), (5, "und " * 200_000), (5, "und")]
+    rows = [(1, None), (2, ""), (3, "12 -- 34 ² ½"), (4, "ß"), (None, "the and with that"), (5, "und " * 200_000), (5, "und")]
     got = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
     by_id = {r.doc_id: r for r in got}
     assert [by_id[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and by_id[1].score == 0
