@@ -7,9 +7,11 @@ first ``reach`` words, so equal passages retain equal suffixes wherever they sta
 ``MIN_WORDS`` - ``reach`` + 1 words: two equal passages of ``MIN_WORDS`` words share a whole core.
 
 1. Suffixes whose core occurs once are dropped, by a combinable count.
-2. The others get their contexts: three-byte hashes of the ``reach`` - 1 words after the core and of
-   as many before it, nearest first. Suffixes with equal core and contexts are a class.
-3. Classes are sorted by core, then by what follows, and neighbours are compared: a match is extended
+2. Suffixes that agree in the ``reach`` - 1 words after the core and in as many before it, too, are a
+   class, known by one hash. A class with two members matches wherever its words are enough.
+3. The cores that hold a class with one member are looked at further. One member of each of their
+   classes gets its contexts: three-byte hashes of the words after the core and before it, nearest
+   first. The classes are sorted by core, then by what follows, and neighbours are compared: a match is extended
    to the right and to the left as far as the contexts agree, and counts from ``MIN_WORDS`` words on.
    A second order sorts by what precedes.
 4. Where a longer extension was seen than the matches that count have, the longest ones together reach
@@ -38,7 +40,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.llm.text import ALNUM, Words, mix64, powers, runs_of, slices, split_words
+from claimwright.llm.text import (
+    ALNUM,
+    Words,
+    mix64,
+    powers,
+    runs_of,
+    slices,
+    small_batches,
+    split_words,
+)
 from claimwright.session import settle
 
 MIN_WORDS = 50
@@ -49,22 +60,28 @@ _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _span_hashes(hashes: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
-    """Hash of the ``width`` hashes from each start."""
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers(_BASE, len(hashes) + 1)[:-1], out=sums[1:])
-    return mix64((sums[start + width] - sums[start]) * powers(_INVERSE, len(hashes) + 1)[start])
+class _Spans:
+    """Hashes of any runs of words, from running sums."""
+
+    def __init__(self, hashes: np.ndarray):
+        size = len(hashes) + 1
+        self.sums = np.zeros(size, dtype=np.uint64)
+        np.cumsum(hashes * powers(_BASE, size)[:-1], out=self.sums[1:])
+        self.inverse = powers(_INVERSE, size)
 
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[stop] - self.sums[start]) * self.inverse[start])
 
-def retained(words: Words, hashes: np.ndarray, min_words: int, reach: int, gram: int) -> np.ndarray:
+
+def retained(words: Words, spans: _Spans, min_words: int, reach: int, gram: int) -> np.ndarray:
     """Positions of the retained suffixes: the least gram of each window, leftmost if equal."""
-    count = len(hashes)
+    count = len(words.start)
     starts = np.flatnonzero(runs_of(words.first, min_words)) if count else np.zeros(0, dtype=np.int64)
     if not len(starts):
         return starts
     grams = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
     places = np.arange(count - gram + 1)
-    grams[places] = _span_hashes(hashes, places, gram)
+    grams[places] = spans.of(places, places + gram)
     best, at = grams[starts], starts.copy()
     for step in range(1, reach):
         other = grams[starts + step]
@@ -81,35 +98,45 @@ def _identity() -> Column:
 
 
 def sparse_suffixes(docs: DataFrame, min_words: int, reach: int, gram: int = GRAM) -> DataFrame:
-    """``doc, core, at``: retained suffixes with the hash of their core and their word position."""
-    core = min_words - reach + 1
+    """Retained suffixes: ``doc``, word position ``at``, hashes of their ``core`` and ``class``.
+
+    ``on_left`` and ``on_right`` count the words of the class before and after the core.
+    """
+    core, width = min_words - reach + 1, reach - 1
     rows = docs.select(_identity().alias("doc"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = split_words(part.column("text"), ALNUM, lower=True)
-            hashes = words.hashes()
-            at = retained(words, hashes, min_words, reach, gram)
+            spans = _Spans(words.hashes())
+            at = retained(words, spans, min_words, reach, gram)
             text = np.searchsorted(words.first, at, side="right") - 1
-            cores = _span_hashes(hashes, at, core) if len(at) else np.zeros(0, dtype=np.uint64)
+            begin = np.maximum(at - width, words.first[text])
+            end = np.minimum(at + core + width, words.first[text + 1])
+            lengths = ((at - begin) << 32 | (end - at)).astype(np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc").take(pa.array(text)),
-                    pa.array(cores.view(np.int64)),
                     pa.array((at - words.first[text]).astype(np.int32)),
+                    pa.array(spans.of(at, at + core).view(np.int64)),
+                    pa.array(mix64(spans.of(begin, end) ^ mix64(lengths)).view(np.int64)),
+                    pa.array((at - begin).astype(np.int32)),
+                    pa.array((end - at - core).astype(np.int32)),
                 ],
-                ["doc", "core", "at"],
+                ["doc", "at", "core", "class", "on_left", "on_right"],
             )
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {kind}, core long, at int")
+    return rows.mapInArrow(
+        run, f"doc {kind}, at int, core long, class long, on_left int, on_right int"
+    )
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, min_words: int, reach: int) -> DataFrame:
-    """The wanted suffixes with the coded words behind and before their cores."""
+    """``wanted`` (doc, at, core, class) with the coded words behind and before their cores."""
     core = min_words - reach + 1
     width = reach - 1
-    lists = wanted.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "core"))).alias("suffixes"))
+    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("at", "core", "class")).alias("suffixes"))
     rows = docs.select(_identity().alias("doc"), F.col("text").cast("string").alias("text")).join(lists, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,21 +151,21 @@ def _contexts(docs: DataFrame, wanted: DataFrame, min_words: int, reach: int) ->
             right = _coded(codes, place + core, np.minimum(place + core + width, words.first[text + 1]))
             back = codes[::-1]
             left = _coded(back, len(codes) - place, len(codes) - np.maximum(place - width, words.first[text]))
-            for a in range(0, len(at), 10_000):
-                b = min(len(at), a + 10_000)
+            for a in range(0, len(at), 4000):
+                b = min(len(at), a + 4000)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc").take(pa.array(text[a:b])),
                         flat.field("core").slice(a, b - a),
-                        pa.array(at[a:b].astype(np.int32)),
+                        flat.field("class").slice(a, b - a),
                         pa.array(right[a:b], pa.binary()),
                         pa.array(left[a:b], pa.binary()),
                     ],
-                    ["doc", "core", "at", "right", "left"],
+                    ["doc", "core", "class", "right", "left"],
                 )
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {kind}, core long, at int, right binary, left binary")
+    return rows.mapInArrow(run, f"doc {kind}, core long, class long, right binary, left binary")
 
 
 def _coded(codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[bytes]:
@@ -166,7 +193,7 @@ _PAIRED = (
 )
 
 
-def _neighbours(classes: DataFrame, first: str, second: str, min_words: int, core_words: int) -> DataFrame:
+def _neighbours(classes: DataFrame, first: str, second: str) -> DataFrame:
     """Compare each class with both neighbours in the order of core, ``first``, ``second``.
 
     The extensions of the neighbour with which most words agree, and the longest single ones.
@@ -215,7 +242,7 @@ def _neighbours(classes: DataFrame, first: str, second: str, min_words: int, cor
     return dealt.select("class", "core", "doc", "right", "left").mapInArrow(run, _PAIRED.format(doc=kind))
 
 
-def _by_windows(classes: DataFrame, open_: DataFrame, min_words: int, reach: int) -> DataFrame:
+def _by_windows(classes: DataFrame, open_: DataFrame, reach: int) -> DataFrame:
     """Exact matches of the cores that neighbours have left open, by windows of ``min_words`` words."""
     width = reach - 1
     rows = classes.join(open_.select("core").distinct(), "core", "left_semi")
@@ -257,31 +284,31 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
     if not GRAM <= min_words - reach + 1 <= min_words:
         raise ValueError("the core must hold a gram")
     core_words, width = min_words - reach + 1, reach - 1
-    suffixes = settle(sparse_suffixes(docs, min_words, reach), "suffixes")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        suffixes = settle(sparse_suffixes(docs, min_words, reach), "suffixes")
     twice = suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
-    found = settle(
-        _contexts(docs, suffixes.join(twice, "core", "left_semi"), min_words, reach).withColumn(
-            "class", F.xxhash64("core", "right", "left")
-        ),
-        "contexts",
-    )
+    found = settle(suffixes.join(twice, "core", "left_semi"), "repeated-cores")
     classes = settle(
-        found.groupBy("class", "core", "right", "left").agg(
-            F.min("doc").alias("doc"), F.max("doc").alias("other"), F.count(F.lit(1)).alias("n")
+        found.groupBy("class", "core", "on_left", "on_right").agg(
+            F.min(F.struct("doc", "at")).alias("rep"),
+            F.max("doc").alias("other"),
+            F.count(F.lit(1)).alias("n"),
         ),
         "classes",
     )
-    members = classes.filter("n > 1").select(
-        "class",
-        "other",
-        "doc",
-        (F.octet_length("left") / _CODE).cast("int").alias("on_left"),
-        (F.octet_length("right") / _CODE).cast("int").alias("on_right"),
-    ).filter(F.col("on_left") + F.col("on_right") + core_words >= min_words)
+    members = classes.filter("n > 1").filter(
+        F.col("on_left") + F.col("on_right") + core_words >= min_words
+    ).select("class", "other", F.col("rep.doc").alias("doc"), "on_left", "on_right")
+    single = (
+        classes.groupBy("core").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("n"))
+        .filter("least = 1 and n > 1").select("core")
+    )
+    wanted = classes.join(single, "core", "left_semi").select("rep.doc", "rep.at", "core", "class")
+    with small_batches(spark):
+        heavy = settle(_contexts(docs, wanted, min_words, reach), "contexts")
     pairs = settle(
-        _neighbours(classes, "right", "left", min_words, core_words).unionByName(
-            _neighbours(classes, "left", "right", min_words, core_words)
-        ),
+        _neighbours(heavy, "right", "left").unionByName(_neighbours(heavy, "left", "right")),
         "neighbours",
     )
     reaches = F.col("on_left") + F.col("on_right") + core_words >= min_words
@@ -302,7 +329,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
             | (F.col("best_right") > F.coalesce("right_held", F.lit(-1)))
         )
     )
-    exact = _by_windows(classes, open_, min_words, reach)
+    exact = _by_windows(heavy, open_, reach)
     matches = sure.unionByName(exact)
     # One row per class: where all its matches together reach, and two partners to choose from.
     reach_of = matches.groupBy("class").agg(

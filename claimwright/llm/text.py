@@ -8,11 +8,13 @@ runs of word bytes; a word class that is closed over UTF-8 continuation bytes ca
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 20
 
@@ -139,3 +141,22 @@ def slices(
             stop = min(stop, begin + rows)
             yield batch.slice(begin, stop - begin)
             begin = stop
+
+
+_BATCH = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+}
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """While a table is written: batches of a few megabytes between Spark and its Python workers."""
+    before = {key: spark.conf.get(key) for key in _BATCH}
+    for key, value in _BATCH.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
