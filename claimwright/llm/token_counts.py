@@ -215,8 +215,9 @@ class CountTree:
 
 def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id, n_tokens`` of every row."""
-    edits = docs.sparkSession.createDataFrame([], "doc_id long, seq long, start long, stop long, new string")
-    return _counted(docs, None, edits, vocabulary).select("doc_id", "n_tokens")
+    none = F.expr("cast(null as array<struct<seq:bigint,start:bigint,stop:bigint,new:string>>)")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), none.alias("edits"))
+    return _apply(rows, vocabulary).select("doc_id", "n_tokens")
 
 
 def edited_counts(docs: DataFrame, edits: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -228,17 +229,8 @@ def edited_counts(docs: DataFrame, edits: DataFrame, vocabulary: Vocabulary) ->
     """
     edit = F.struct("seq", "start", "stop", F.coalesce("new", F.lit("")).alias("new"))
     lists = edits.filter("doc_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_list(edit)).alias("edits"))
-    return _counted(docs, lists, edits, vocabulary)
-
-
-def _counted(docs: DataFrame, lists: DataFrame | None, edits: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    if lists is None:
-        kind = "array<struct<seq:bigint,start:bigint,stop:bigint,new:string>>"
-        rows = rows.withColumn("edits", F.expr(f"cast(null as {kind})"))
-    else:
-        rows = rows.join(lists, "doc_id", "left")
-    return _apply(rows, vocabulary)
+    return _apply(rows.join(lists, "doc_id", "left"), vocabulary)
 
 
 def apply_listed(docs: DataFrame, edits: str, vocabulary: Vocabulary) -> DataFrame:
