@@ -287,7 +287,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
     spark = docs.sparkSession
     with small_batches(spark):
         suffixes = settle(sparse_suffixes(docs, min_words, reach), "suffixes")
-    twice = suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    # Stored, so that the join below is one of two tables and its hot cores can be split.
+    counts = suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n"))
+    twice = settle(counts.filter("n > 1").select("core"), "cores")
     found = settle(suffixes.join(twice, "core", "left_semi"), "repeated-cores")
     classes = settle(
         found.groupBy("class", "core", "on_left", "on_right").agg(
