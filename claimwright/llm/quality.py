@@ -45,7 +45,7 @@ _SYMBOL = re.compile(rb"[#*$%&<>]")
 _SHOUT = re.compile(rb"[!?]{2,}(?=[\x20\x09-\x0D]|$)")
 _PHRASE = re.compile(rb"(?i)\b(?:" + BOILERPLATE.encode() + rb")\b")
 _CLOSED = tuple(c.encode() for c in CLOSING)
-# What a text must contain for a rule on long lines to be able to hold.
+# What a text must contain for a rule to be able to hold on a line of three words or more.
 _SUSPECT = re.compile(rb"[|#*$%&<>]|[!?]{2}|\xc2\xbb|\xe2\x80[\xba\xa2]")
 
 RULES = ("navigation", "boilerplate", "punctuation")
@@ -86,7 +86,7 @@ def _lines(text: bytes) -> tuple[list[int], bytes | None]:
     filled = [line for line in lines if line.strip()]
     counts, lost, kept = dict.fromkeys(RULES, 0), 0, None
     suspect = _SUSPECT.search(text) or _PHRASE.search(text)
-    if suspect or any(len(line) < 200 and len(line.split(None, 3)) < 3 for line in filled):
+    if suspect or any(len(line.split(None, 3)) < 3 for line in filled):
         failures = [failed_rule(line) for line in lines]
         if any(failures):
             kept = b"\n".join(line for line, rule in zip(lines, failures) if not rule)

@@ -52,6 +52,20 @@ def test_clean_text_matches_plain_version(docs):
     assert sum(r.doc_id == 4 for r in got.collect()) == 2 and None in by_id
 
 
+@pytest.mark.parametrize("line", ["x" * 199, "x" * 5_000, "/long/path" * 30 + " " + "y" * 300, "字" * 100, "x" * 5_000 + "."])
+def test_long_lines_of_few_words(spark, line):
+    """Lines of any length with fewer than three words fail unless they are closed."""
+    text = "One sentence of twelve words stands beside the line in this text.\n" + line
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = quality.quality(docs).collect()
+    measures, base_failed, kept, clean = plain.quality(text)
+    closed = line.endswith(".")
+    assert (row.n_words, row.word_chars) == measures[:2] and row.n_punctuation == (not closed)
+    assert row.lost_chars == (0 if closed else len(line.replace(" ", "")))
+    assert (row.base_failed, row.kept) == (base_failed, kept) and kept == closed
+    assert [r.text for r in quality.clean(docs).collect()] == [clean] * kept
+
+
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     cleaned = {r.doc_id: r for r in quality.clean(docs).collect()}
