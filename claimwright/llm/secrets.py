@@ -1,13 +1,17 @@
 """Secret scans in DataFrame functions only: fixed patterns and a randomness test battery.
 
 Fixed patterns give the kinds ``assign``, ``access`` and ``hex``. Further spans, of kind ``random``,
-come from unbroken tokens of 20 or more credential characters that no fixed pattern touches:
+come from unbroken tokens of 20 or more credential characters that no fixed pattern touches; ``=`` cuts tokens unless it ends them:
 
 1. The token's encoding is inferred from its characters (hex, lower or upper case with digits, base64).
-   Tokens of letters only, or of digits only, have none and are no candidates.
+   Tokens of letters only, or of digits only, have none and are no candidates, and nor are those of one
+   case with separators (``+ / _ - =``) that have fewer than ``BODY_CHARS`` letters and digits.
 2. Three tests ask whether the token looks drawn at random from that alphabet: chi-squared uniformity
    over cells of the alphabet that expect five characters or more, a runs test about the middle of the
    alphabet, and serial correlation at lag one. Their smallest p-value, times three, is the token's.
+   Tokens of one case with separators are tested without these, and by a fourth test, of the share of
+   digits, as words set apart by separators have few; parts between separators that are tokens by
+   themselves are tested too, and the greatest p-value is the token's.
 3. Tokens are told apart from random ones by the Benjamini-Hochberg rule at ``FDR``, within strata of
    encoding and length, over all documents: of the tokens rejected in a stratum, at most that share is
    expected to be random. What is not rejected is reported.
@@ -34,7 +38,12 @@ ASSIGN_CHARS = 6
 # A greedy run that is long enough is the same match as the run without the bound.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+TOKEN_CHARS = 20
+# What stands between '=' of a run that is long enough; only '=' at the end of the run belongs to it.
+TOKEN = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?"
+)
+BODY_CHARS = 16
 _LONG = r"[A-Za-z0-9+/_=-]{20}"
 KINDS = ("assign", "access", "hex", "random")
 FDR = 0.05
@@ -50,6 +59,9 @@ _ALPHABETS = {
     "upper": _DIGITS + _LOWER.upper(),
     "base64": _LOWER.upper() + _LOWER + _DIGITS + "+/-_",
 }
+# One case with separators: the alphabet of what is between them.
+_ALPHABETS |= {f"{kind}-": _ALPHABETS[kind] for kind in ("hex", "HEX", "lower", "upper")}
+_SEPARATORS = "[+/_=-]+"
 
 _SPANS = "array<struct<start:int,rank:int,end:int>>"
 
@@ -104,12 +116,17 @@ def _base_spans(text: Column) -> Column:
 def _encoding(token: Column) -> Column:
     digit, lower, upper = (token.rlike(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
     plain = ~token.rlike("[+/_=-]")
+    body = F.char_length(F.regexp_replace(token, _SEPARATORS, "")) >= BODY_CHARS
     return (
         F.when(plain & digit & token.rlike("^[0-9a-f]+$") & lower, "hex")
         .when(plain & digit & token.rlike("^[0-9A-F]+$") & upper, "HEX")
         .when(plain & digit & lower & ~upper, "lower")
         .when(plain & digit & upper & ~lower, "upper")
         .when(digit & lower & upper & token.rlike("^[^=]+=*$"), "base64")
+        .when(body & digit & lower & ~upper & token.rlike("^[0-9a-f+/_=-]+$"), "hex-")
+        .when(body & digit & upper & ~lower & token.rlike("^[0-9A-F+/_=-]+$"), "HEX-")
+        .when(body & digit & lower & ~upper, "lower-")
+        .when(body & digit & upper & ~lower, "upper-")
     )
 
 
@@ -187,8 +204,24 @@ def _serial(codes: Column, n: Column, size: Column) -> Column:
     return _let(mean, test)
 
 
+def _digit_share(codes: Column, n: Column, size: Column) -> Column:
+    """p-value of the number of digits, which are the first ten of the alphabet."""
+    digits = F.size(F.filter(codes, lambda x: x < 10))
+    share = 10 / size
+    return _two_sided((digits - n * share) / F.sqrt(n * share * (1 - share)))
+
+
 def randomness(token: Column, encoding: Column) -> Column:
+    """The p-value of a token, given the name of its encoding: its parts count if they are tokens."""
+    parts = F.filter(F.split(token, _SEPARATORS), lambda t: F.char_length(t) >= TOKEN_CHARS)
+    values = F.transform(parts, lambda t: _battery(t, _encoding(t)))
+    whole = _battery(token, encoding)
+    return F.when(encoding.endswith("-"), F.greatest(whole, F.array_max(values))).otherwise(whole)
+
+
+def _battery(token: Column, encoding: Column) -> Column:
     """The battery's p-value of a token, given the name of its encoding."""
+    separated = encoding.endswith("-")
     alphabet = F.element_at(
         F.create_map(*[F.lit(x) for pair in _ALPHABETS.items() for x in pair]), encoding
     )
@@ -203,11 +236,18 @@ def randomness(token: Column, encoding: Column) -> Column:
             codes,
             lambda x: F.least(
                 F.lit(1.0),
-                3 * F.least(_uniformity(x, n, size), _runs(x, n, size), _serial(x, n, size)),
+                F.when(separated, 4).otherwise(3)
+                * F.least(
+                    _uniformity(x, n, size),
+                    _runs(x, n, size),
+                    _serial(x, n, size),
+                    F.when(separated, _digit_share(x, n, size)).otherwise(1.0),
+                ),
             ),
         )
 
-    return _let(F.regexp_replace(token, "=+$", ""), battery)
+    ends = F.regexp_replace(token, "=+$", "")
+    return _let(F.when(separated, F.regexp_replace(token, _SEPARATORS, "")).otherwise(ends), battery)
 
 
 def _stratum(encoding: Column, length: Column) -> Column:
@@ -233,6 +273,7 @@ def _candidates(text: Column, base: Column) -> Column:
         free = F.filter(
             rows,
             lambda r: r["encoding"].isNotNull()
+            & (F.char_length(r["token"]) >= TOKEN_CHARS)
             & ~F.exists(base, lambda b: (b["start"] < r["span"]["end"]) & (r["span"]["start"] < b["end"])),
         )
         return F.transform(
