@@ -38,12 +38,25 @@ _INSIDE[0x61:0x7B] = np.arange(0x61, 0x7B)
 _INSIDE[0x80:] = np.arange(0x80, 0x100)
 
 _UNIT = r"[^\W\d_]|[0-9@$!|+]"
-_SPACED = rf"(?<![^\s])(?:{_UNIT})(?:[ ._*\-]{{1,3}}(?:{_UNIT})){{3,}}(?![^\s.,;:!?])"
-_LEETED = r"[^\W\d_]+[0-9@$!|+(€£]+[^\W\d_][\w@$!|+(€£]*|[0-9@$!|+(€£]+[^\W\d_][\w@$!|+(€£]*|[^\W\d_]{2,}[@$]{1,2}(?![^\s.,;:!?])"
-_REPEATED = r"\w*?(?P<run>[^\W\d_])(?P=run)(?P=run)\w*"
+_OPENING, _CLOSING = r"\s\"'(\[{<«»‹›“”„‘’—–", r"\s.,;:!?\"')\]}>«»‹›“”‘’—–…"
+_LETTER, _SIGN, _BLANKS = r"[^\W\d_]", r"[0-9@$!|+(€£]", r"[ ._*\-]{1,3}"
+# Three units need a letter among them, as three numbers in a row are no word.
+_SPACED = (
+    rf"(?<![^{_OPENING}])(?:(?:{_UNIT})(?:{_BLANKS}(?:{_UNIT})){{3,}}"
+    rf"|(?=(?:[0-9@$!|+]{_BLANKS}){{0,2}}{_LETTER})(?:{_UNIT})(?:{_BLANKS}(?:{_UNIT})){{2}})(?![^{_CLOSING}])"
+)
+_LEETED = (
+    rf"(?<!{_LETTER}){_LETTER}++(?:{_SIGN}++{_LETTER}[\w@$!|+(€£]*"
+    rf"|(?<={_LETTER}{_LETTER})[@$]{{1,2}}(?![^\s.,;:!?])|{_SIGN}*[0-9][@$+]{{0,2}}(?!\w))"
+    rf"|(?!\({_SPACED}){_SIGN}++{_LETTER}[\w@$!|+(€£]*"
+)
+_REPEATED = rf"(?<!\w)\w*?(?P<run>{_LETTER})(?P=run)\w*"
 _DISGUISED = re.compile(f"(?P<spaced>{_SPACED})|{_LEETED}|{_REPEATED}")
 # Cheap necessary condition for the above.
-_HINT = re.compile(r"[0-9@$!|+(€£]\w|\w[@$]|([^\W\d_])\1\1|(?<![^\s])\w[ ._*\-]{1,3}\w[ ._*\-]{1,3}\w[ ._*\-]")
+_HINT = re.compile(
+    r"[0-9@$!|+(€£]\w|\w[0-9@$]|([^\W\d_])\1"
+    r"|(?<!\w)[\w@$!|+][ ._*\-]{1,3}[\w@$!|+][ ._*\-]{1,3}[\w@$!|+](?![^\W_])"
+)
 
 
 def _gram_bucket(a, b, c):

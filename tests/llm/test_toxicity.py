@@ -57,6 +57,21 @@ def test_restoration(chars, disguised, meant):
     assert deobfuscate.restorer(chars)(disguised) == meant
 
 
+@pytest.mark.parametrize(
+    "disguised, meant",
+    [
+        ("what an 1d107", "what an idiot"), ("idi07", "idiot"), ("m0r0n5", "morons"), ("letter5", "letters"),
+        ("friend5 today", "friends today"), ("iddiiott", "idiot"), ("mmoorroonn", "moron"), ("iddiot", "idiot"),
+        ('"i d i o t"', '"idiot"'), ("(m o r o n)", "(moron)"), ("[p.a.t.h.e.t.i.c]", "[pathetic]"),
+        ("“m-o-r-o-n”", "“moron”"), ("t h e people", "the people"), ("'t h e'", "'the'"),
+        ("several letters", "several letters"), ("1 2 3 and 4", "1 2 3 and 4"), ("(a) 10, 20", "(a) 10, 20"),
+    ],
+)
+def test_restoration_of_more_forms(chars, disguised, meant):
+    """Look-alikes at the end, doubled letters, and spaced words in brackets or of three letters."""
+    assert deobfuscate.restorer(chars)(disguised) == meant
+
+
 def test_decoding_finds_the_cheapest_path(chars):
     def paths(steps):
         if not steps:
