@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("q_warc", "q_suffixes", "q_language", "q_mixing", "q_decontaminate", "q_simhash", "q_secrets", "q_toxicity", "q_token_counts", "q_quality", "q_prefix_trie", "q_sharding")
+_MODULES = ("q_warc", "q_suffixes", "q_language", "q_mixing", "q_decontaminate", "q_simhash", "q_secrets", "q_toxicity", "q_token_counts", "q_quality", "q_collocations", "q_prefix_trie", "q_sharding")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
