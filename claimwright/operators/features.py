@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimwright.session import attach_lookup, settle
+from claimwright.operators.applications import dense_ids
+from claimwright.session import BROADCAST_ROWS, attach_lookup, settle
 
 # Features by kind, in matrix order.
 NUMERIC_FEATURES = [
@@ -170,6 +171,74 @@ def split_flag(
     return staged.withColumn("is_train", F.col("_bucket") <= cutoff).drop("_bucket", "_cutoff")
 
 
+def exact_split(
+    frame: DataFrame,
+    keys: Sequence[str],
+    label: str | None = None,
+    test: float = 0.2,
+    order: Column | None = None,
+    bins: int = 4096,
+    most: int = 10_000,
+) -> DataFrame:
+    """Add ``is_train``: of the n rows of each label exactly n - ceil(``test`` n), the first by ``order``.
+
+    ``order`` is a whole number per row, by default a hash of the keys; ties are broken by the keys. The
+    label's last training row is found by counts per bin of ``order``: the bin that holds it is cut into
+    bins again until it has at most ``most`` rows or one value. Only the rows of these bins are numbered,
+    over sorted ranges. Labels, null being one, may be as uneven as they are; no label is sorted as a whole.
+    """
+    value = F.shiftrightunsigned(F.xxhash64(F.lit("split"), *keys), 1) if order is None else order.cast("long")
+    name = F.lit(None).cast("string") if label is None else F.col(label)
+    rows = settle(frame.withColumns({"_label": name, "_value": value}), "split")
+    n = F.count(F.lit(1))
+    cuts = rows.groupBy("_label").agg(
+        (n - F.ceil(n * F.lit(test))).cast("long").alias("_train"),
+        F.min("_value").alias("_low"),
+        F.max("_value").alias("_high"),
+        F.lit(0).cast("long").alias("_before"),
+        n.alias("_inside"),
+    )
+    cuts = settle(cuts.withColumnRenamed("_label", "_of"), "cuts")
+
+    def cut_rows(cuts: DataFrame) -> DataFrame:
+        """Rows beside their label's cut."""
+        lookup = F.broadcast(cuts) if cuts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else cuts
+        return rows.join(lookup, F.col("_label").eqNullSafe(F.col("_of")))
+
+    wide = (F.col("_inside") > most) & (F.col("_low") < F.col("_high"))
+    while not cuts.filter(wide).isEmpty():
+        span = F.expr(f"(CAST(_high AS DECIMAL(20,0)) - _low) div {bins} + 1")
+        at = F.expr("CAST((CAST(_value AS DECIMAL(20,0)) - _low) div _span AS INT)")
+        inside = cut_rows(cuts.withColumn("_span", span)).filter("_value BETWEEN _low AND _high")
+        cells = inside.groupBy("_of", "_train", "_before", at.alias("_bin")).agg(
+            n.alias("_n"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
+        )
+        upto = Window.partitionBy("_of").orderBy("_bin")  # at most ``bins`` rows
+        summed = cells.withColumns(
+            {
+                "_until": F.col("_before") + F.sum("_n").over(upto) - F.col("_n"),
+                "_final": F.col("_bin") == F.max("_bin").over(Window.partitionBy("_of")),
+            }
+        )
+        holds = (F.col("_until") <= F.col("_train")) & (F.col("_train") < F.col("_until") + F.col("_n"))
+        none_left = F.col("_until") + F.col("_n") == F.col("_train")
+        chosen = summed.filter(holds | (none_left & F.col("_final")))
+        cuts = settle(
+            chosen.select("_of", "_train", "_low", "_high", F.col("_until").alias("_before"), F.col("_n").alias("_inside")),
+            "cuts",
+        )
+    placed = cut_rows(cuts)
+    last = "_value BETWEEN _low AND _high"
+    numbered = dense_ids(placed.filter(last), ["_label", "_value", *keys], "_place")
+    firsts = numbered.groupBy(F.col("_label").alias("_of")).agg(F.min("_place").alias("_first"))
+    lookup = F.broadcast(firsts) if cuts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else firsts
+    own = numbered.drop("_of").join(lookup, F.col("_label").eqNullSafe(F.col("_of")))
+    inner = own.withColumn("is_train", F.col("_before") + F.col("_place") - F.col("_first") < F.col("_train"))
+    outer = placed.filter(f"NOT ({last})").withColumn("is_train", F.col("_value") < F.col("_low"))
+    columns = [*[F.col(f"`{c}`") for c in frame.columns], "is_train"]
+    return inner.select(*columns).unionByName(outer.select(*columns))
+
+
 def class_weights(frame: DataFrame, label: str) -> DataFrame:
     """Weight rows / (classes x rows of the class) per class."""
     counts = settle(

@@ -46,15 +46,24 @@ def validate_claims(claims: DataFrame) -> DataFrame:
     )
 
 
+def passes(rules: dict[str, Column]) -> Column:
+    """Whether a row passes every rule; an unknown test is a failure."""
+    return _all([F.coalesce(test, F.lit(False)) for test in rules.values()])
+
+
+def removal_measures(rules: dict[str, Column]) -> list[Column]:
+    """Initial and kept rows and the failures of each rule, as aggregates."""
+    failed = {name: ~F.coalesce(test, F.lit(False)) for name, test in rules.items()}
+    return [
+        F.count(F.lit(1)).alias("initial_rows"),
+        F.count_if(passes(rules)).alias("kept_rows"),
+        *[F.count_if(test).alias(f"failed_{name}") for name, test in failed.items()],
+    ]
+
+
 def removal_counts(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Initial, kept and removed rows and the failures of each rule, in one pass."""
-    passed = {name: F.coalesce(test, F.lit(False)) for name, test in rules.items()}
-    everything = _all(list(passed.values()))
-    totals = frame.agg(
-        F.count(F.lit(1)).alias("initial_rows"),
-        F.count_if(everything).alias("kept_rows"),
-        *[F.count_if(~test).alias(f"failed_{name}") for name, test in passed.items()],
-    )
+    totals = frame.agg(*removal_measures(rules))
     return totals.withColumn("removed_rows", F.col("initial_rows") - F.col("kept_rows"))
 
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimwright.functions import half_up
-from claimwright.operators import history
+from claimwright.operators import history, labels, sketches
 from claimwright.operators.asof import asof_join
+from claimwright.operators.intervals import overlap_counts, range_join
+from claimwright.plans import quality as quality_plans
 from claimwright.plans import screening as screening_plans
 from claimwright.plans import tables as t
-from claimwright.session import scratch_path
+from claimwright.session import scratch_path, settle
 from claimwright.sources import derived
 from claimwright.sources.derived import ROW_KEYS
 from claimwright.streaming import baselines, ingest, windows
@@ -162,6 +164,66 @@ def provider_figures_asof(spark, sf_dir):
     return joined.select(*ROW_KEYS, "figure_month", "figure_claims")
 
 
+def stream_removals(spark, sf_dir):
+    """Removal counts of three loads, added up."""
+    claims = quality_plans.dirty_claims(spark, sf_dir).withColumn("_load", F.col("ok") % 3)
+    counts = scratch_path(spark, "removals")
+    _replay(
+        spark, claims, 3, "counted", lambda s, o, c: ingest.ingest_counted(s, o, counts, c, available_now=True)
+    )
+    found = spark.read.parquet(counts).drop("batch")
+    return found.agg(*[F.sum(n).alias(n) for n in found.columns])
+
+
+def daily_sketches(spark, sf_dir):
+    """Patients and providers per specialty from sketches per day, against the exact numbers."""
+    columns = ["patient_id", "provider_id"]
+    claims = derived.medical_claims(spark, sf_dir).withColumn("day", F.col("service_date").cast("date"))
+    daily = settle(sketches.distinct_sketches(claims, ["provider_specialty", "day"], columns), "sketches")
+    merged = sketches.distinct_estimates(
+        sketches.merged_sketches(daily, ["provider_specialty"], columns), columns
+    )
+    exact = [
+        claims.select("provider_specialty", c).distinct().groupBy("provider_specialty").agg(F.count(c).alias(f"_{c}"))
+        for c in columns
+    ]
+    near = [F.abs(F.col(c) - F.col(f"_{c}")) <= 0.03 * F.col(f"_{c}") + 1 for c in columns]
+    days = daily.groupBy("provider_specialty").agg(F.count("day").alias("days"))
+    joined = merged.join(exact[0], "provider_specialty").join(exact[1], "provider_specialty").join(days, "provider_specialty")
+    return joined.select(
+        "provider_specialty", F.col("rows").alias("claims"), "days", (near[0] & near[1]).alias("within_three_percent")
+    )
+
+
+def _open_claims(spark, sf_dir):
+    """From the service to the submission of a claim."""
+    return labels.with_timing(derived.medical_claims(spark, sf_dir)).select(
+        *ROW_KEYS, "provider_id", "service_date", F.col("submission_date").cast("timestamp_ntz").alias("submission_date")
+    )
+
+
+def overlapping_claims(spark, sf_dir):
+    """Open claims of the same provider that overlap a claim, without itself."""
+    claims = _open_claims(spark, sf_dir)
+    counted = overlap_counts(claims, claims, ["provider_id"], "service_date", "submission_date")
+    own = (F.col("service_date") < F.col("submission_date")).cast("long")
+    return counted.select(*ROW_KEYS, (F.col("overlaps") - own).alias("overlaps"))
+
+
+def claims_in_busy_months(spark, sf_dir):
+    """Claims that were submitted in a month of which the provider had at least three claims."""
+    claims = _open_claims(spark, sf_dir)
+    months = history.provider_monthly_trend(claims.select("provider_id", "service_date")).filter("claims >= 3")
+    busy = months.select(
+        "provider_id",
+        F.col("month").cast("timestamp_ntz").alias("busy_from"),
+        F.add_months("month", 1).cast("timestamp_ntz").alias("busy_to"),
+        F.col("claims").alias("busy_claims"),
+    )
+    joined = range_join(claims, busy, ["provider_id"], "submission_date", "busy_from", "busy_to", 30 * 86_400)
+    return joined.select(*ROW_KEYS, "busy_from", "busy_claims")
+
+
 _MEASURES = (
     f"count(*) AS rows, {t.count_if(chr(39).join(['event_type = ', 'error', '']))} AS flagged, "
     f"{t.flag_mean(chr(39).join(['event_type = ', 'error', '']))} AS rate, {t.exact_sum('value')} AS total"
@@ -237,4 +299,32 @@ QUERIES = {
             "FROM mc0 GROUP BY ALL) m ON m.p = provider_id AND service_date >= known_from",
         ),
     ),
+    "overlapping_claims": (
+        overlapping_claims,
+        t.over(
+            "mc1",
+            f"SELECT {_KEYS}, CASE WHEN service_date < submission_date THEN (SELECT count(*) FROM mc1 o "
+            "WHERE o.provider_id = m.provider_id AND o.service_date < m.submission_date "
+            "AND o.submission_date > m.service_date AND o.service_date < o.submission_date) - 1 ELSE 0 END AS overlaps FROM mc1 m",
+        ),
+    ),
+    "claims_in_busy_months": (
+        claims_in_busy_months,
+        t.over(
+            "mc1",
+            f"SELECT {_KEYS}, busy_from, busy_claims FROM mc1 JOIN (SELECT provider_id AS p, "
+            "CAST(date_trunc('month', service_date) AS TIMESTAMP) AS busy_from, count(*) AS busy_claims FROM mc1 "
+            "GROUP BY ALL HAVING count(*) >= 3) b ON b.p = provider_id AND submission_date >= busy_from "
+            "AND submission_date < busy_from + INTERVAL 1 MONTH",
+        ),
+    ),
+    "stream_removals": (stream_removals, quality_plans.QUERIES["claim_removals"][1]),
+    "daily_sketches": (
+        daily_sketches,
+        t.over(
+            "mc0",
+            "SELECT provider_specialty, count(*) AS claims, count(DISTINCT CAST(service_date AS DATE)) AS days, "
+            "true AS within_three_percent FROM mc0 GROUP BY 1",
+        ),
+    ),
 }

@@ -71,6 +71,26 @@ def stratified_split(spark, sf_dir):
     return _labelled_split(spark, sf_dir).select(*ROW_KEYS, "is_approved", "is_train")
 
 
+def exact_split(spark, sf_dir):
+    """Exactly n - ceil(n / 5) claims of each label, by the given draw."""
+    claims = training.with_approval_label(training_plans.base(spark, sf_dir)).select(*ROW_KEYS, "u_split", "is_approved")
+    flagged = features.exact_split(claims, ROW_KEYS, "is_approved", order=F.col("u_split"))
+    return flagged.select(*ROW_KEYS, "is_approved", "is_train")
+
+
+def exact_split_sizes(spark, sf_dir):
+    """Sizes by a hash of the keys: of each rejection reason, and without a label."""
+    rows = training_plans.labelled(spark, sf_dir).select(*ROW_KEYS, "rejection_reason")
+    split = [features.exact_split(rows, ROW_KEYS, by, most=500) for by in ("rejection_reason", None)]
+    sizes = [
+        s.groupBy((F.col("rejection_reason") if by else F.lit("any")).alias("label")).agg(
+            F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("test")
+        )
+        for s, by in zip(split, (True, False))
+    ]
+    return sizes[0].unionByName(sizes[1])
+
+
 _SCALED = ["billed_amount", "coding_accuracy_score", "provider_data_completeness"]
 
 
@@ -160,45 +180,53 @@ def feature_catalogue(spark, sf_dir):
     return features.catalogue_coverage(claims)
 
 
-# ---- models (no equivalent SQL) --------------------------------------------------------
-
+# ---- models ----------------------------------------------------------------------------
 
-def _approval(spark, sf_dir):
-    matrix, names = _matrix(spark, sf_dir, "is_approved")
-    return models.train_approval(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
+# The test part is drawn by the claims' own number, so that SQL finds the same one.
+_DRAWN = ("u_split",)
 
 
-def _reason(spark, sf_dir):
-    matrix, names = _matrix(spark, sf_dir, "is_approved", "rejection_reason")
-    return models.train_reason(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
+def _approval(spark, sf_dir, *carry):
+    matrix, names = _matrix(spark, sf_dir, "is_approved", *_DRAWN, *carry)
+    matrix = features.settle(matrix, "matrix")
+    return matrix, models.train_approval(
+        matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS, settled=True, bucket=_bucket()
+    )
 
 
 def _probability(spark, sf_dir):
-    matrix, names = _matrix(spark, sf_dir, "approval_probability_actual")
-    return models.train_probability(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
+    matrix, names = _matrix(spark, sf_dir, "approval_probability_actual", *_DRAWN)
+    return models.train_probability(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS, bucket=_bucket())
+
+
+def _judged(report, chance):
+    """Test claims per class, and whether the classes' mean recall is above ``chance``."""
+    report = features.settle(report, "report")
+    recall = report.filter("support > 0").agg(F.avg("recall") > chance).collect()[0][0]
+    return report.filter("support > 0").select("class", "support", F.lit(recall).alias("above_chance"))
 
 
 def train_approval(spark, sf_dir):
-    """Classification report of the chosen approval model on its test part."""
-    fitted = _approval(spark, sf_dir)
+    """The chosen approval model on its test part."""
+    _, fitted = _approval(spark, sf_dir)
     counts = models.confusion_counts(fitted.predictions, F.col("label"), F.col("prediction"))
-    return models.classification_report(counts).withColumn("model", F.lit(fitted.kind))
+    return _judged(models.classification_report(counts), 0.5)
 
 
 def train_reason(spark, sf_dir):
-    fitted = _reason(spark, sf_dir)
+    matrix, names = _matrix(spark, sf_dir, "is_approved", "rejection_reason", *_DRAWN)
+    fitted = models.train_reason(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS, bucket=_bucket())
     counts = models.confusion_counts(fitted.predictions, F.col("label"), F.col("prediction"))
-    report = models.classification_report(counts)
-    names = F.lit(fitted.classes)
-    return report.withColumn("class", F.get(names, F.col("class").cast("int")))
+    report = _judged(models.classification_report(counts), 1 / (2 * len(fitted.classes)))
+    return report.withColumn("class", F.get(F.lit(fitted.classes), F.col("class").cast("int")))
 
 
 def train_probability(spark, sf_dir):
-    fitted = _probability(spark, sf_dir)
-    return fitted.predictions.agg(
-        F.count(F.lit(1)).alias("claims"),
-        F.avg(F.abs(F.col("prediction") - F.col("label"))).alias("mae"),
-    )
+    """Claims of the test part, and whether the forest is nearer to them than their mean is."""
+    predictions = features.settle(_probability(spark, sf_dir).predictions.select("prediction", "label"), "predictions")
+    mean = predictions.agg(F.avg("label")).scalar()
+    error, spread = (F.avg(F.abs(F.col("label") - v)) for v in (F.col("prediction"), mean))
+    return predictions.agg(F.count(F.lit(1)).alias("claims"), (error < spread).alias("beats_mean"))
 
 
 def feature_importance(spark, sf_dir):
@@ -234,16 +262,20 @@ _DECISION_INPUTS = ["claim_id", "network_status"]
 
 
 def model_scoring(spark, sf_dir):
-    """Decisions of all claims by the approval model, after a save and load."""
-    matrix, names = _matrix(spark, sf_dir, "is_approved", *_DECISION_INPUTS)
-    fitted = models.train_approval(matrix, names, ROW_KEYS, train_rows=TRAIN_ROWS)
+    """Decisions of all claims by the approval model, after a save and load.
+
+    Counted by network status, with those whose action and money follow from the model's probability.
+    """
+    matrix, fitted = _approval(spark, sf_dir, *_DECISION_INPUTS)
     folder = models.save_models({"approval": fitted}, scratch_path(spark, "models"))
     scored = models.score_claims(matrix, models.load_model(folder, "approval"))
-    return scored.select(
-        *ROW_KEYS,
-        "approval_probability",
-        F.col("recommendation.action").alias("action"),
-        F.col("recommendation.expected_reimbursement").alias("expected_reimbursement"),
+    p = F.col("model_probability")
+    action = F.when(p >= 0.75, "SUBMIT").when(p >= 0.65, "QA_REVIEW").otherwise("HOLD")
+    rate = F.when(F.col("network_status") == "In-Network", 0.8).otherwise(0.6)
+    money = F.abs(F.col("recommendation.expected_reimbursement") - F.col("billed_amount") * rate * p)
+    follows = (F.col("recommendation.action") == action) & (money <= 0.01) & (F.abs(p - F.col("approval_probability")) <= 0.001)
+    return scored.groupBy("network_status").agg(
+        F.count(F.lit(1)).alias("claims"), F.count_if(follows).alias("consistent")
     )
 
 
@@ -281,7 +313,14 @@ _VALUES = {
 }
 
 
-def _matrix_sql() -> str:
+# Claims of smaller buckets than a row's, and how many the training part needs: a test row has enough before it.
+_REACHED = (
+    "count(*) OVER ({by} ORDER BY u_split // 1000 RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, "
+    "ceil(count(*) OVER ({by}) * 0.8e0) AS need"
+)
+
+
+def _matrix_columns() -> str:
     columns = [f"CAST({n} AS DOUBLE) AS {n}" for n in features.NUMERIC_FEATURES]
     columns += [f"CAST({n} AS INT) AS {n}" for n in features.FLAG_FEATURES]
     for name in features.CATEGORY_FEATURES:
@@ -290,7 +329,24 @@ def _matrix_sql() -> str:
         else:
             columns.append(f"count(*) OVER (PARTITION BY {name}) AS {name}_frequency")
     columns.append(training_plans._COMPOSITES)
-    return t.over("ct", f"SELECT {_KEYS}, {', '.join(columns)} FROM ct")
+    return ", ".join(columns)
+
+
+def _matrix_sql() -> str:
+    return t.over("ct", f"SELECT {_KEYS}, {_matrix_columns()} FROM ct")
+
+
+def _selection_sql() -> str:
+    """The ten features with the largest ratio of the spread between the labels to that within them."""
+    return t.over("ct", "") + (
+        f", m AS (SELECT is_approved AS label, CAST(COLUMNS(* EXCLUDE (label)) AS DOUBLE) FROM ("
+        f"SELECT is_approved AS label, is_approved, {_matrix_columns()} FROM ct)), "
+        "u AS (UNPIVOT (SELECT * EXCLUDE (is_approved) FROM m) ON COLUMNS(* EXCLUDE (label)) INTO NAME feature VALUE v), "
+        "s AS (SELECT feature, label, count(*) AS n, avg(v) AS a, var_pop(v) * count(*) AS q FROM u GROUP BY ALL), "
+        "w AS (SELECT feature, sum(n) AS n, sum(n * a) / sum(n) AS a, sum(q) AS q FROM s GROUP BY 1) "
+        "SELECT feature FROM (SELECT feature, sum(s.n * (s.a - w.a) * (s.a - w.a)) / any_value(w.q / (w.n - 2)) AS f "
+        "FROM s JOIN w USING (feature) WHERE w.q > 0 GROUP BY 1) ORDER BY f DESC LIMIT 10"
+    )
 
 
 _SPLIT = (
@@ -397,6 +453,24 @@ QUERIES = {
         stratified_split,
         t.over("ct", "") + _SPLIT + f"SELECT {_KEYS}, is_approved, is_train FROM sp",
     ),
+    "exact_split": (
+        exact_split,
+        t.over(
+            "ct",
+            f"SELECT {_KEYS}, is_approved, row_number() OVER (PARTITION BY is_approved ORDER BY u_split, {_KEYS}) "
+            "<= count(*) OVER (PARTITION BY is_approved) - ceil(count(*) OVER (PARTITION BY is_approved) * 0.2e0) "
+            "AS is_train FROM ct",
+        ),
+    ),
+    "exact_split_sizes": (
+        exact_split_sizes,
+        t.over(
+            "ct_cat",
+            "SELECT label, CAST(n - ceil(n * 0.2e0) AS BIGINT) AS train, CAST(ceil(n * 0.2e0) AS BIGINT) AS test FROM ("
+            "SELECT rejection_reason AS label, count(*) AS n FROM ct_cat GROUP BY 1 "
+            "UNION ALL SELECT 'any', count(*) FROM ct_cat)",
+        ),
+    ),
     "scaled_features": (scaled_features, _scaled_sql()),
     "class_weights": (
         class_weights,
@@ -452,9 +526,30 @@ QUERIES = {
         ),
     ),
     "feature_catalogue": (feature_catalogue, _catalogue_sql()),
-    "train_approval": (train_approval, None),
-    "train_reason": (train_reason, None),
-    "train_probability": (train_probability, None),
+    "train_approval": (
+        train_approval,
+        t.over("ct", "")
+        + _SPLIT
+        + "SELECT CAST(CAST(is_approved AS INT) AS DOUBLE) AS class, count(*) AS support, true AS above_chance "
+        "FROM sp WHERE NOT is_train GROUP BY 1",
+    ),
+    "train_reason": (
+        train_reason,
+        t.over(
+            "ct_pick",
+            "SELECT rejection_reason AS class, count(*) AS support, true AS above_chance FROM ("
+            f"SELECT rejection_reason, u_split // 1000 AS bucket, {_REACHED.format(by='PARTITION BY rejection_reason')} "
+            "FROM ct_pick WHERE rejection_reason IS NOT NULL) WHERE before >= need GROUP BY 1",
+        ),
+    ),
+    "train_probability": (
+        train_probability,
+        t.over(
+            "ct",
+            "SELECT count(*) AS claims, true AS beats_mean FROM (SELECT "
+            f"{_REACHED.format(by='')} FROM ct) WHERE before >= need",
+        ),
+    ),
     "feature_importance": (feature_importance, None),
     "train_linear": (train_linear, None),
     "cross_validation": (
@@ -465,7 +560,13 @@ QUERIES = {
             "FROM ct, (VALUES (0.001e0), (0.01e0), (0.1e0)) AS tried(regularisation) GROUP BY 1, 2",
         ),
     ),
-    "feature_selection": (feature_selection, None),
-    "model_scoring": (model_scoring, None),
+    "feature_selection": (feature_selection, _selection_sql()),
+    "model_scoring": (
+        model_scoring,
+        t.over(
+            "ct",
+            "SELECT network_status, count(*) AS claims, count(*) AS consistent FROM ct GROUP BY 1",
+        ),
+    ),
     "training_report": (training_report, None),
 }

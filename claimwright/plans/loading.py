@@ -8,7 +8,7 @@ from claimwright.operators import quality, training
 from claimwright.plans import decisions
 from claimwright.plans import tables as t
 from claimwright.session import scratch_path
-from claimwright.sources import derived, readers, schemas, sinks
+from claimwright.sources import derived, published, readers, schemas, sinks
 from claimwright.sources.derived import ROW_KEYS
 
 _KEYS = "ok, ln, pk, sk"
@@ -30,7 +30,7 @@ def append_batches(spark, sf_dir):
         refused = False
     except ValueError:
         refused = True
-    back = spark.read.parquet(path)
+    back = published.read_published(spark, path)
     return back.groupBy("batch").agg(
         F.count(F.lit(1)).alias("claims"),
         F.sum("billed_amount").cast("double").alias("billed"),
@@ -39,6 +39,23 @@ def append_batches(spark, sf_dir):
     )
 
 
+def resumed_copy(spark, sf_dir):
+    """A copy in key ranges that stops after the second range, and goes on later with what is left."""
+    claims = _training(spark, sf_dir)
+    path = scratch_path(spark, "ranges")
+    last = claims.agg(F.max("ok")).first()[0]
+    bounds = [last * k // 4 for k in (1, 2, 3)]
+    first = published.copy_ranges(claims, path, "ok", bounds, "bpo_claims_training", most=2)
+    rest = published.copy_ranges(claims, path, "ok", bounds, "bpo_claims_training")
+    back = published.read_published(spark, path)
+    parts = F.when(F.col("batch").isin(rest), 2).when(F.col("batch").isin(first), 1)
+    return back.groupBy(parts.alias("run")).agg(
+        F.count(F.lit(1)).alias("claims"),
+        F.count_distinct("batch").alias("ranges"),
+        F.sum("billed_amount").cast("double").alias("billed"),
+    )
+
+
 def applications_fallback(spark, sf_dir):
     """An applications file without rows: the given customers stand in for it."""
     path = scratch_path(spark, "applications")
@@ -155,6 +172,17 @@ QUERIES = {
             "max(service_date) AS last_service, true AS empty_refused FROM ct GROUP BY 1",
         ),
     ),
+    "resumed_copy": (
+        resumed_copy,
+        t.over(
+            "ct",
+            "SELECT CASE WHEN ok < m * 2 // 4 THEN 1 ELSE 2 END AS run, count(*) AS claims, "
+            "count(DISTINCT CASE WHEN ok < m // 4 THEN 0 WHEN ok < m * 2 // 4 THEN 1 WHEN ok < m * 3 // 4 THEN 2 "
+            "ELSE 3 END) AS ranges, "
+            f"CAST(sum(CAST({t.half_up('billed_amount', 2)} AS DECIMAL(18, 2))) AS DOUBLE) AS billed "
+            "FROM ct, (SELECT max(ok) AS m FROM ct) GROUP BY 1",
+        ),
+    ),
     "applications_fallback": (applications_fallback, t.over("ra", "SELECT * FROM ra")),
     "table_reconcile_gaps": (
         table_reconcile_gaps,

@@ -27,7 +27,7 @@ _GAPS = {
 }
 
 
-def _dirty(spark, sf_dir):
+def dirty_claims(spark, sf_dir):
     claims = labels.labelled_claims(labels.with_timing(derived.medical_claims(spark, sf_dir)))
     return claims.withColumns({name: F.expr(text) for name, text in _GAPS.items()})
 
@@ -63,17 +63,17 @@ def _removal_sql(rules: dict[str, str], source: str) -> str:
 
 
 def validate_claims(spark, sf_dir):
-    return quality.validate_claims(_dirty(spark, sf_dir)).select(
+    return quality.validate_claims(dirty_claims(spark, sf_dir)).select(
         *ROW_KEYS, "patient_id", "patient_age", "billed_amount", *quality.CLAIM_FLAGS
     )
 
 
 def claim_removals(spark, sf_dir):
-    return quality.removal_counts(_dirty(spark, sf_dir), quality.claim_rules())
+    return quality.removal_counts(dirty_claims(spark, sf_dir), quality.claim_rules())
 
 
 def quality_report(spark, sf_dir):
-    return quality.quality_report(_dirty(spark, sf_dir), "medical_claims")
+    return quality.quality_report(dirty_claims(spark, sf_dir), "medical_claims")
 
 
 _LENGTHS = {
@@ -133,14 +133,14 @@ def optional_projection(spark, sf_dir):
 
 
 def profile_counts(spark, sf_dir):
-    return catalog.profile_counts(_dirty(spark, sf_dir), "service_date")
+    return catalog.profile_counts(dirty_claims(spark, sf_dir), "service_date")
 
 
 _PROFILED = ["claim_id", "patient_id", "patient_age", "billed_amount", "rejection_reason"]
 
 
 def profile_columns(spark, sf_dir):
-    return catalog.profile_columns(_dirty(spark, sf_dir).select(*_PROFILED))
+    return catalog.profile_columns(dirty_claims(spark, sf_dir).select(*_PROFILED))
 
 
 def conformed_claims(spark, sf_dir):

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.session import discard
+from claimwright.sources.published import publish
 from claimwright.sources.schemas import conform
 
 JDBC_BATCH = 500
@@ -52,25 +52,12 @@ def append_rows(frame: DataFrame, path: str, table: str | None = None) -> bool:
 
 
 def append_batch(frame: DataFrame, path: str, batch: str, table: str | None = None) -> int:
-    """Publish a batch as a folder of its own under ``path``; the number of its rows.
+    """Publish a batch of the table in ``path``; the number of its rows.
 
-    The folder is replaced as a whole, so a batch that is loaded again after a failure is
-    there once. An empty batch is refused. Rows are counted while they are written.
+    All or nothing: see ``published``, whose ``read_published`` reads the table. A batch that is loaded
+    again takes the place of the earlier one, and an empty batch is refused.
     """
-    counted = Observation()
-    rows = conform(frame, table) if table else frame
-    staged = f"{path.rstrip('/')}/_staged/{batch}"
-    rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged)
-    spark, written = frame.sparkSession, counted.get["rows"]
-    try:
-        if not written:
-            raise ValueError(f"batch {batch} is empty")
-        # Readers skip names that begin with an underscore; what is published is complete.
-        published = spark.read.parquet(staged)
-        published.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
-    finally:
-        discard(spark, staged)
-    return written
+    return publish(frame, path, batch, table)
 
 
 def append_jdbc(frame: DataFrame, url: str, table: str, **options: str) -> bool:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from claimwright.operators import applications, quality
@@ -98,6 +98,38 @@ def each_batch(
     return writer.trigger(**trigger).start()
 
 
+def ingest_counted(
+    claims: DataFrame,
+    target: str,
+    counts: str,
+    checkpoint: str,
+    rules: dict[str, Column] | None = None,
+    available_now: bool = False,
+    every: str = "30 seconds",
+) -> StreamingQuery:
+    """Append the claims that pass all rules, and per batch how many each rule has removed.
+
+    Kept rows go to ``target``/batch=n and one row of counts to ``counts``/batch=n. The counts are
+    observed while the rows are written, so a batch is read once; a batch that is run again replaces
+    both.
+    """
+    tests = quality.claim_rules() if rules is None else rules
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        observed = batch.observe(seen, *quality.removal_measures(tests))
+        kept = observed.filter(quality.passes(tests))
+        kept.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+        found = {name: int(n) for name, n in seen.get.items()}
+        found["removed_rows"] = found["initial_rows"] - found["kept_rows"]
+        row = batch.sparkSession.createDataFrame([tuple(found.values())], [f"{n}" for n in found])
+        row.write.mode("overwrite").parquet(f"{counts.rstrip('/')}/batch={number}")
+
+    writer = claims.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return writer.trigger(**trigger).start()
+
+
 def batch_statistics(claims: DataFrame, target: str, checkpoint: str, **how) -> StreamingQuery:
     """Z-score and specialty risk computed within each micro-batch.
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimwright.operators import statistics as stats
+from claimwright.operators import sketches
 from claimwright.operators.asof import asof_join
 from claimwright.streaming import baselines, ingest, windows
 
@@ -195,3 +196,37 @@ def test_asof_join_splits_a_hot_key_and_refuses_clashes(spark):
         asof_join(left.withColumn("value", F.lit(1)), right, ["k"], "t", "since", ["value"])
     assert asof_join(left.limit(0), right, ["k"], "t", "since", ["value"]).count() == 0
     assert asof_join(left, right.limit(0), ["k"], "t", "since", ["value"]).filter("value IS NOT NULL").isEmpty()
+
+
+def test_removals_are_counted_once_per_batch(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "k long, n int"
+    rules = {"n": F.col("n") > 0, "k": F.col("k").isNotNull()}
+
+    def go():
+        stream = ingest.file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        ingest.ingest_counted(
+            stream, str(tmp_path / "out"), str(tmp_path / "counts"), str(tmp_path / "cp"), rules, available_now=True
+        ).awaitTermination()
+
+    for rows in ([(1, 1), (2, -1), (None, None)], [(3, 5)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        go()
+    (tmp_path / "cp" / "commits" / "1").unlink()
+    (tmp_path / "cp" / "commits" / ".1.crc").unlink(missing_ok=True)
+    go()
+    found = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "counts")).select(
+        "batch", "initial_rows", "kept_rows", "failed_n", "failed_k", "removed_rows").collect())
+    assert found == [(0, 3, 1, 2, 1, 2), (1, 1, 1, 0, 0, 0)]
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
+
+
+def test_sketches_of_days_merge_into_those_of_all_rows(spark):
+    rows = spark.range(60_000).select(
+        (F.col("id") % 30).alias("day"), (F.col("id") % 3).alias("g"), (F.col("id") % 20_011).alias("v"),
+        F.when(F.col("id") % 2 == 0, F.lit("x")).alias("w"),
+    )
+    daily = sketches.distinct_sketches(rows, ["day", "g"], ["v", "w"])
+    whole = sketches.distinct_estimates(sketches.merged_sketches(daily, [], ["v", "w"]), ["v", "w"]).collect()
+    assert [r.rows for r in whole] == [60_000] and abs(whole[0].v - 20_011) <= 600 and whole[0].w == 1
+    none = sketches.distinct_estimates(sketches.distinct_sketches(rows.limit(0), [], ["v"]), ["v"]).collect()
+    assert none[0].v == 0 and none[0].rows == 0

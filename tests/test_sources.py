@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimwright.operators import applications, quality
-from claimwright.sources import catalog, readers, schemas, sinks
+from claimwright.sources import catalog, published, readers, schemas, sinks
 
 
 def test_schema_widths():
@@ -170,4 +170,50 @@ def test_batches_replace_themselves_and_empty_ones_are_refused(spark, tmp_path):
     assert sinks.append_batch(rows.filter("id < 7"), path, "a") == 7
     with pytest.raises(ValueError):
         sinks.append_batch(rows.filter("id < 0"), path, "c")
-    assert spark.read.parquet(path).count() == 11
+    assert published.read_published(spark, path).count() == 11
+
+
+def test_a_failure_before_publishing_leaves_the_old_batch(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    published.publish(spark.range(5), path, "a")
+    reader = published.read_published(spark, path)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(published, "_replace", broken)
+        with pytest.raises(OSError):
+            published.publish(spark.range(9), path, "a")
+    assert published.read_published(spark, path).count() == reader.count() == 5
+    assert published.publish(spark.range(7), path, "a") == 7
+    assert reader.count() == 5 and published.read_published(spark, path).count() == 7
+    assert published.read_published(spark, path, version=1).count() == 5
+    # One version is given out once: a writer that has not seen it is refused.
+    with pytest.raises(RuntimeError):
+        published._replace(spark, path, [("b", "_data/none", 1)], 1)
+    assert published.sweep(spark, path, keep=1) == 2 and published.read_published(spark, path).count() == 7
+    assert published.withdraw(spark, path, "a") and not published.withdraw(spark, path, "a")
+    with pytest.raises(FileNotFoundError):
+        published.read_published(spark, path)
+
+
+def test_a_copy_goes_on_with_what_is_left(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "copy")
+    source = spark.range(100).withColumn("id", F.when(F.col("id") != 50, F.col("id")))
+    parts, publish = [], published.publish
+
+    def third_fails(frame, path, batch, table):
+        if len(parts) == 2:
+            raise OSError("lost")
+        parts.append((batch, publish(frame, path, batch, table)))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(published, "publish", third_fails)
+        with pytest.raises(OSError):
+            published.copy_ranges(source, path, "id", [10, 60, 60, 80])
+    assert parts == [("id first", 11), ("id>=10", 49)]
+    assert published.copy_ranges(source, path, "id", [10, 60, 60, 80]) == ["id>=60", "id>=80"]
+    assert published.copy_ranges(source, path, "id", [10, 60, 60, 80]) == []
+    back = published.read_published(spark, path)
+    assert back.drop("batch").exceptAll(source).isEmpty() and back.count() == 100
