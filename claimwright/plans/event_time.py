@@ -63,30 +63,31 @@ def _windows(spark, sf_dir, name, windowed):
     return found.withColumns({n: F.col(n).cast("timestamp_ntz") for n in ("window_start", "window_end")})
 
 
-_WHAT = windows.measures(F.col("event_type") == "error", F.col("value"))
+def _what():
+    return windows.measures(F.col("event_type") == "error", F.col("value"))
 
 
 def window_tumbling(spark, sf_dir):
     return _windows(
-        spark, sf_dir, "tumbling", lambda s: windows.tumbling(s, "ts", "1 day", _WHAT, ["user_id"], late=_LATE)
+        spark, sf_dir, "tumbling", lambda s: windows.tumbling(s, "ts", "1 day", _what(), ["user_id"], late=_LATE)
     )
 
 
 def window_sliding(spark, sf_dir):
     return _windows(
-        spark, sf_dir, "sliding", lambda s: windows.sliding(s, "ts", "12 hours", "3 hours", _WHAT, late=_LATE)
+        spark, sf_dir, "sliding", lambda s: windows.sliding(s, "ts", "12 hours", "3 hours", _what(), late=_LATE)
     )
 
 
 def window_sessions(spark, sf_dir):
     return _windows(
-        spark, sf_dir, "sessions", lambda s: windows.sessions(s, "ts", "8 hours", _WHAT, ["user_id"], late=_LATE)
+        spark, sf_dir, "sessions", lambda s: windows.sessions(s, "ts", "8 hours", _what(), ["user_id"], late=_LATE)
     )
 
 
 def window_sessions_batch(spark, sf_dir):
     """The sessions of the whole table, by the same function."""
-    found = windows.sessions(_events(spark, sf_dir), "ts", "8 hours", _WHAT, ["user_id"])
+    found = windows.sessions(_events(spark, sf_dir), "ts", "8 hours", _what(), ["user_id"])
     return found.withColumns({n: F.col(n).cast("timestamp_ntz") for n in ("window_start", "window_end")})
 
 
