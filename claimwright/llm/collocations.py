@@ -38,11 +38,11 @@ from claimwright.session import settle
 LEAST, LONGEST, TOP = 30, 4, 2000
 # A phrase goes if a longer one has this percentage of its occurrences.
 SUBSUMED = 80
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SIEVE_BITS = 1 << 27
 # Entries that a task holds, and words of the corpus a bucket.
-HELD = 1 << 21
-BUCKET_WORDS = 1 << 22
+HELD = 1 << 20
+BUCKET_WORDS = 1 << 21
 _SALTS = 64
 
 _SEPARATES = np.zeros(256, dtype=bool)

@@ -51,10 +51,13 @@ def added(columns: list[np.ndarray], counts: np.ndarray | None) -> tuple[list[np
 
 
 class Stripes:
-    """Counts of word sequences, merged whenever more than ``most`` entries have come together."""
+    """Counts of word sequences, merged whenever more than ``most`` entries have come together.
+
+    Where more than half of that is distinct, the next merge waits until the entries have doubled.
+    """
 
     def __init__(self, width: int, most: int):
-        self.width, self.most = width, most
+        self.width, self.most, self.limit = width, most, most
         self.parts: list = []
         self.size = 0
 
@@ -62,8 +65,9 @@ class Stripes:
         columns, counts = added(columns, counts)
         self.parts.append((columns, counts))
         self.size += len(counts)
-        if self.size > self.most:
+        if self.size > self.limit:
             self._merge()
+            self.limit = max(self.most, 2 * self.size)
 
     def _merge(self) -> None:
         if len(self.parts) > 1:
@@ -80,7 +84,7 @@ class Stripes:
         """All counts; nothing is left."""
         self._merge()
         found = self.parts[0] if self.parts else ([np.zeros(0, np.uint64)] * self.width, np.zeros(0, np.int64))
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.limit = [], 0, self.most
         return found
 
 
