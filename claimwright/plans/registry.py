@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("screening", "decisions", "processing", "quality", "learning", "history", "streams", "gaps", "loading", "event_time")
+_MODULES = ("screening", "decisions", "processing", "quality", "learning", "history", "streams", "gaps", "loading", "event_time", "networks")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
