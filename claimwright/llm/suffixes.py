@@ -9,21 +9,23 @@ first ``reach`` words, so equal passages retain equal suffixes wherever they sta
 1. Suffixes whose core occurs once are dropped, by a combinable count.
 2. Suffixes that agree in the ``reach`` - 1 words after the core and in as many before it, too, are a
    class, known by one hash. A class with two members matches wherever its words are enough.
-3. The cores that hold a class with one member are looked at further. One member of each of their
-   classes gets its contexts: three-byte hashes of the words after the core and before it, nearest
-   first. The classes are sorted by core, then by what follows, and neighbours are compared: a match is extended
-   to the right and to the left as far as the contexts agree, and counts from ``MIN_WORDS`` words on.
-   A second order sorts by what precedes.
-4. Where a longer extension was seen than the matches that count have, the longest ones together reach
-   ``MIN_WORDS`` and no neighbour holds both, the core's classes are looked up by all their windows of
-   ``MIN_WORDS`` words, so nothing is lost.
+3. Cores of several classes are looked at further. One member of each of their classes gets its
+   contexts: three-byte hashes of the words after the core and before it, nearest first. The classes
+   are sorted by core, then by what follows, and neighbours are compared: a match is extended to the
+   right and to the left as far as the contexts agree, and counts from ``MIN_WORDS`` words on. A second
+   order sorts by what precedes. Every match of neighbours is a link of their classes.
+4. Neighbours can hide a match behind a third class that agrees on one side only. This takes a pair of
+   neighbours without a match in both orders of the core, and classes whose longest extensions together
+   reach ``MIN_WORDS``: those are looked up by all their windows of ``MIN_WORDS`` words, so nothing is lost.
 
 Sorting is by core and the first word of the context that is sorted on, so a core that a third of all
 documents share is spread by its surroundings, and equal surroundings are one class. Suffixes that
 differ in both words next to the core share fewer than ``MIN_WORDS`` words.
 
-Results are spans of words per document, with one partner document per span, a member of the class or
-of the neighbouring class: links between classes and membership, not all pairs.
+Results are merged spans of words per document. Spans that share ``MIN_WORDS`` words, directly or over
+other spans, have one ``component``: components are formed over classes, from the matches of step 3 and 4
+and from classes that follow each other inside a span, so copies cost one node. ``partner`` is one document
+that shares the span's first passage; all others are those of the component.
 
 Defined cases: null texts and texts of fewer than ``MIN_WORDS`` words have no spans; a passage that
 repeats inside a document counts; repeated rows repeat each other; a null id stays null. An empty table
@@ -37,9 +39,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimwright.llm.graph import components
 from claimwright.llm.text import (
     ALNUM,
     Words,
@@ -50,11 +53,12 @@ from claimwright.llm.text import (
     small_batches,
     split_words,
 )
-from claimwright.session import settle
+from claimwright.session import salted_left_join, settle
 
 MIN_WORDS = 50
 REACH = 34
 GRAM = 8
+HOT_CLASS = 20_000  # rows of a class from which on its joins are salted
 _CODE = 3  # bytes of a word in a context
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -188,64 +192,47 @@ def common_words(a: bytes, b: bytes) -> int:
     return low
 
 
-_PAIRED = (
-    "class long, core long, partner {doc}, on_left int, on_right int, best_left int, best_right int"
-)
-
-
 def _neighbours(classes: DataFrame, first: str, second: str) -> DataFrame:
-    """Compare each class with both neighbours in the order of core, ``first``, ``second``.
+    """Compare each class with the next one in the order of core, ``first``, ``second``.
 
-    The extensions of the neighbour with which most words agree, and the longest single ones.
+    One row per pair of neighbours of a core, with the words that both extensions share; ``apart`` if
+    they share a word on the sorted side but too few on both sides together to match.
     """
     word = F.substring(F.col(first), 1, _CODE)
-    dealt = classes.repartition("core", word).sortWithinPartitions("core", first, second)
+    dealt = classes.repartition("core", word).sortWithinPartitions("core", first, second, "class")
+    kind = classes.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shared = None, None  # the class before, and what it shares with the one before it
-
-        def row(own, matches):
-            best = max(matches, key=lambda m: (m[0] + m[1], m[2] is not None))
-            return (
-                own["class"], own["core"], best[2], best[0], best[1],
-                max(m[0] for m in matches), max(m[1] for m in matches),
-            )
-
-        names = ("class", "core", "partner", "on_left", "on_right", "best_left", "best_right")
-        kinds = None
+        held = None
         for batch in batches:
             doc = batch.schema.field("doc").type
             kinds = pa.schema(
-                [("class", pa.int64()), ("core", pa.int64()), ("partner", doc)]
-                + [(n, pa.int32()) for n in names[3:]]
+                [("core", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("doc_a", doc), ("doc_b", doc)]
+                + [("on_left", pa.int32()), ("on_right", pa.int32())]
             )
             out = []
             for own in batch.to_pylist():
-                link = None
                 if held is not None and held["core"] == own["core"]:
                     left = common_words(held["left"], own["left"])
                     right = common_words(held["right"], own["right"])
-                    link = (left, right)
-                if held is not None:
-                    ends = [(*m, p) for m, p in ((shared, before), (link, own["doc"])) if m]
-                    if ends:
-                        out.append(row(held, ends))
-                before = held["doc"] if held is not None and link else None
-                held, shared = own, link
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=kinds)
-        if held is not None and shared:
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(names, row(held, [(*shared, before)])))], schema=kinds
-            )
+                    pair = (own["core"], held["class"], own["class"], held["doc"], own["doc"], left, right)
+                    out.append(dict(zip(kinds.names, pair)))
+                held = own
+            yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-    kind = classes.schema["doc"].dataType.simpleString()
-    return dealt.select("class", "core", "doc", "right", "left").mapInArrow(run, _PAIRED.format(doc=kind))
+    rows = dealt.select("class", "core", "doc", "right", "left").mapInArrow(
+        run, f"core long, a long, b long, doc_a {kind}, doc_b {kind}, on_left int, on_right int"
+    )
+    return rows.withColumn("order", F.lit(first))
 
 
 def _by_windows(classes: DataFrame, open_: DataFrame, reach: int) -> DataFrame:
-    """Exact matches of the cores that neighbours have left open, by windows of ``min_words`` words."""
+    """Exact matches of the classes that neighbours have left open, by windows of ``min_words`` words.
+
+    ``least`` is the least class that holds the window.
+    """
     width = reach - 1
-    rows = classes.join(open_.select("core").distinct(), "core", "left_semi")
+    rows = classes.join(open_.select("class"), "class", "left_semi")
     windows = rows.select(
         "class", "core", "doc", "left", "right", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("back")
     ).filter(
@@ -263,7 +250,9 @@ def _by_windows(classes: DataFrame, open_: DataFrame, reach: int) -> DataFrame:
         ).alias("window"),
     )
     key = ["core", "back", "window"]
-    groups = keyed.groupBy(*key).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"))
+    groups = keyed.groupBy(*key).agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("class").alias("least"), F.count(F.lit(1)).alias("n")
+    )
     return (
         keyed.join(groups.filter("n > 1").drop("n"), key)
         .select(
@@ -271,15 +260,17 @@ def _by_windows(classes: DataFrame, open_: DataFrame, reach: int) -> DataFrame:
             F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("partner"),
             F.col("back").cast("int").alias("on_left"),
             (width - F.col("back")).cast("int").alias("on_right"),
+            "least",
         )
     )
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int = REACH) -> DataFrame:
-    """``doc_id, text_hash, first, last, partner``: merged word spans that occur elsewhere too.
+    """``doc_id, text_hash, first, last, partner, component``: merged word spans that occur elsewhere too.
 
     Every passage of ``min_words`` words or more that occurs twice is inside a span, and every word of
-    a span is in such a passage. ``partner`` is a document that shares a passage of the span.
+    a span is in such a passage. ``partner`` is a document that shares a passage of the span, and spans
+    have the same ``component`` exactly if a chain of shared passages leads from one to the other.
     """
     if not GRAM <= min_words - reach + 1 <= min_words:
         raise ValueError("the core must hold a gram")
@@ -302,37 +293,35 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
     members = classes.filter("n > 1").filter(
         F.col("on_left") + F.col("on_right") + core_words >= min_words
     ).select("class", "other", F.col("rep.doc").alias("doc"), "on_left", "on_right")
-    single = (
-        classes.groupBy("core").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("n"))
-        .filter("least = 1 and n > 1").select("core")
-    )
-    wanted = classes.join(single, "core", "left_semi").select("rep.doc", "rep.at", "core", "class")
+    several = classes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    wanted = classes.join(several, "core", "left_semi").select("rep.doc", "rep.at", "core", "class")
     with small_batches(spark):
         heavy = settle(_contexts(docs, wanted, min_words, reach), "contexts")
     pairs = settle(
         _neighbours(heavy, "right", "left").unionByName(_neighbours(heavy, "left", "right")),
         "neighbours",
     )
-    reaches = F.col("on_left") + F.col("on_right") + core_words >= min_words
-    matched = pairs.filter(reaches).select("class", "partner", "on_left", "on_right")
-    whole = members.select("class", F.col("other").alias("partner"), "on_left", "on_right")
-    whole = whole.unionByName(members.select("class", F.col("doc").alias("partner"), "on_left", "on_right"))
-    sure = settle(matched.unionByName(whole), "matched")
-    held = sure.groupBy("class").agg(
-        F.max("on_left").alias("left_held"), F.max("on_right").alias("right_held")
+    reaches = F.col("on_left") + F.col("on_right") >= width
+    near = F.when(F.col("order") == "right", F.col("on_right")).otherwise(F.col("on_left"))
+    extents = pairs.select("core", F.col("a").alias("class"), F.col("doc_b").alias("partner"), "on_left", "on_right")
+    extents = extents.unionByName(
+        pairs.select("core", F.col("b").alias("class"), F.col("doc_a").alias("partner"), "on_left", "on_right")
     )
-    longest = pairs.groupBy("class", "core").agg(
-        F.max("best_left").alias("best_left"), F.max("best_right").alias("best_right")
+    # Where every pair of neighbours that share a word matches, in one order, the matches are complete.
+    apart = (
+        pairs.filter(~reaches & (near > 0)).groupBy("core").agg(F.count_distinct("order").alias("orders"))
+        .filter("orders = 2").select("core")
     )
-    open_ = longest.join(held, "class", "left").filter(
-        (F.col("best_left") + F.col("best_right") >= width)
-        & (
-            (F.col("best_left") > F.coalesce("left_held", F.lit(-1)))
-            | (F.col("best_right") > F.coalesce("right_held", F.lit(-1)))
-        )
+    open_ = (
+        extents.groupBy("class", "core")
+        .agg(F.max("on_left").alias("best_left"), F.max("on_right").alias("best_right"))
+        .filter(F.col("best_left") + F.col("best_right") >= width)
+        .join(apart, "core", "left_semi")
     )
-    exact = _by_windows(heavy, open_, reach)
-    matches = sure.unionByName(exact)
+    exact = settle(_by_windows(heavy, open_, reach), "windows")
+    whole = members.select("class", F.col("other").alias("partner"), "on_left", "on_right")
+    whole = whole.unionByName(members.select("class", F.col("doc").alias("partner"), "on_left", "on_right"))
+    matches = extents.filter(reaches).drop("core").unionByName(whole).unionByName(exact.drop("least"))
     # One row per class: where all its matches together reach, and two partners to choose from.
     reach_of = matches.groupBy("class").agg(
         F.max("on_left").alias("on_left"),
@@ -340,29 +329,42 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
         F.min("partner").alias("low"),
         F.max("partner").alias("high"),
     )
-    spans = found.select("class", "doc", "at").join(reach_of, "class").select(
-        "doc",
-        (F.col("at") - F.col("on_left")).alias("first"),
-        (F.col("at") + core_words + F.col("on_right")).alias("last"),
-        F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("partner"),
-    )
-    # A document's spans: as many as it has suffixes at most. Merge those that overlap or touch.
-    merged = spans.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("first", "last", "partner"))).alias("s"))
-    kind = spans.schema["partner"].dataType.simpleString()
-    none = F.expr(f"cast(array() as array<struct<first:int,last:int,partner:{kind}>>)")
-
-    def join(done: Column, s: Column) -> Column:
-        tail = F.element_at(done, -1)
-        longer = F.struct(
-            tail["first"].alias("first"),
-            F.greatest(tail["last"], s["last"]).alias("last"),
-            tail["partner"].alias("partner"),
-        )
-        opens = (F.size(done) == 0) | (s["first"] > F.try_element_at(done, F.lit(-1))["last"])
-        return F.when(opens, F.concat(done, F.array(s))).otherwise(
-            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+    reach_of = settle(reach_of, "reach")
+    # A class may hold a third of all rows: hot ones are salted.
+    spans = (
+        salted_left_join(found.select("class", "doc", "at"), reach_of, ["class"], hot_rows=HOT_CLASS)
+        .filter("on_left is not null")
+        .select(
+            "doc",
+            "class",
+            (F.col("at") - F.col("on_left")).alias("first"),
+            (F.col("at") + core_words + F.col("on_right")).alias("last"),
+            F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("partner"),
         )
-
-    return merged.select("doc", F.explode(F.aggregate("s", none, join)).alias("s")).select(
-        "doc.doc_id", "doc.text_hash", "s.first", "s.last", F.col("s.partner.doc_id").alias("partner")
+    )
+    # A document's spans: as many as it has suffixes at most. Those that overlap or touch are one.
+    in_order = Window.partitionBy("doc").orderBy("first", "last", "class")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = spans.withColumn("_until", F.max("last").over(earlier)).withColumn("_before", F.lag("class").over(in_order))
+    placed = placed.withColumn("_opens", F.col("_until").isNull() | (F.col("first") > F.col("_until")))
+    placed = settle(placed.withColumn("_island", F.count_if("_opens").over(in_order)), "placed")
+    links = (
+        placed.filter("not _opens").select(F.col("class").alias("a"), F.col("_before").alias("b"))
+        .unionByName(pairs.filter(reaches).select("a", "b"))
+        .unionByName(exact.select(F.col("class").alias("a"), F.col("least").alias("b")))
+    )
+    roots = settle(components(links).select(F.col("node").alias("class"), "root"), "components")
+    merged = placed.groupBy("doc", "_island").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.min(F.struct("first", "partner"))["partner"].alias("partner"),
+        F.min("class").alias("class"),
+    )
+    return salted_left_join(settle(merged, "spans"), roots, ["class"], hot_rows=HOT_CLASS).select(
+        "doc.doc_id",
+        "doc.text_hash",
+        "first",
+        "last",
+        F.col("partner.doc_id").alias("partner"),
+        F.coalesce("root", "class").alias("component"),
     )

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimwright.llm.suffixes import repeated_passages
@@ -44,6 +45,36 @@ def check(docs, texts):
     return got
 
 
+def plain_components(texts, min_words=50):
+    """Sets of spans (id, first, last) that chains of shared windows join."""
+    spans, root, owner = plain_by_id(texts), {}, {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for i, text in texts.items():
+        words = words_of(text)
+        for first, last in spans[i]:
+            find((i, first, last))
+            for at in range(first, last - min_words + 1):
+                window = tuple(words[at : at + min_words])
+                root[find((i, first, last))] = find(owner.setdefault(window, (i, first, last)))
+    groups = {}
+    for span in root:
+        groups.setdefault(find(span), set()).add(span)
+    return sorted(map(sorted, groups.values()))
+
+
+def check_components(docs, texts):
+    groups = {}
+    for r in repeated_passages(docs).collect():
+        groups.setdefault(r.component, set()).add((r.doc_id, r.first, r.last))
+    assert sorted(map(sorted, groups.values())) == plain_components(texts)
+    return groups
+
+
 def plain_by_id(texts):
     return dict(zip(texts, plain(list(texts.values()))))
 
@@ -67,13 +98,61 @@ def test_planted_passages(spark):
     texts[63], texts[64], texts[65] = None, "", " ".join(prose(2000))
     texts[66] = "same " * 5000
     rows = [(i, t, "x", 1) for i, t in texts.items()]
-    got = check(spark.createDataFrame(rows, "doc_id long, text string, class string, core int"), texts)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class string, core int")
+    got = check(docs, texts)
+    check_components(docs, texts)
     assert got[60].partners == [61] and got[61].partners == [60]
 
 
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    check(docs, {r.doc_id: r.text for r in docs.collect()})
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    check(docs, texts)
+    check_components(docs, texts)
+
+
+def _some(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+K = _some("k", 50)
+LINKED = {
+    "pairs_that_go_on": [K + _some("x", 20), _some("a", 5) + K + _some("x", 20), K + _some("y", 20), _some("b", 9) + K + _some("y", 20)],
+    "two_classes_of_copies": [_some("p", 30) + K + _some("q", 9)] * 2 + [_some("r", 30) + K + _some("s", 9)] * 2,
+    "chain": [
+        _some(f"u{i}-", 7) + _some(f"m{i}-", 55) + _some(f"m{i + 1}-", 55) + _some(f"v{i}-", 7) for i in range(6)
+    ],
+    # Each pair of parts agrees on one side of a core; only some reach fifty words.
+    "hidden_neighbours": [
+        _some(f"l{i % 3}-", 20 - i) + _some("c", 30) + _some(f"r{i % 2}-", 12 + i) for i in range(12)
+    ]
+    + [_some("z", i) + _some("c", 30)[i:] + _some(f"r{i % 2}-", 40) for i in range(6)],
+    "apart": [_some("c", 49) + _some(f"e{i}-", 30) for i in range(4)],
+}
+
+
+@pytest.mark.parametrize("case", LINKED)
+def test_components(spark, case):
+    texts = {i: " ".join(words) for i, words in enumerate(LINKED[case])}
+    groups = check_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts)
+    if case in ("pairs_that_go_on", "two_classes_of_copies", "chain"):
+        assert len(groups) == 1
+
+
+def test_random_mosaics(spark):
+    """Parts of 10 to 45 words, each in several places: many agree on one side of a core."""
+    rng = random.Random(11)
+    parts = [_some(f"t{i}-", rng.randint(10, 45)) for i in range(12)]
+    texts = {i: " ".join(w for _ in range(rng.randint(2, 6)) for w in rng.choice(parts)) for i in range(120)}
+    check_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts)
+
+
+def test_one_id_for_different_texts(spark):
+    texts = [_some("a", 60), _some("b", 70), _some("a", 60) + ["end"], _some("b", 70) + ["end"]]
+    rows = [(i, " ".join(t)) for i, t in zip((1, 1, 2, None), texts)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.last) for r in got) == [(0, 70), (1, 60), (1, 70), (2, 60)]
+    assert len({r.component for r in got}) == 2 and len({(r.doc_id, r.text_hash) for r in got}) == 4
 
 
 def test_repeated_rows_and_empty_tables(spark):
