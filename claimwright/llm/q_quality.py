@@ -26,14 +26,17 @@ m AS (
     len(regexp_extract_all(line, '[#*$%&<>]')) AS symbols,
     len(regexp_extract_all(line, '[!?]{2,}([\x20\x09-\x0D]|$)')) AS shouts,
     regexp_matches(line, '(?i)\b(cookies?|privacy policy|terms of (use|service)|all rights reserved|javascript|subscribe|sign (in|up)|log ?in|newsletter|click here|read more|share (on|this)|lorem ipsum|copyright)\b') AS phrase,
-    regexp_matches(line, '[.!?:;,)\]}"''…»”’][\x20\x09-\x0D]*$') AS closed,
+    regexp_matches(line, '[.!?:;,)\]}"''][\x20\x09-\x0D]*$')
+      OR (regexp_matches(line, '[\p{Po}\p{Pe}\p{Pf}][\x20\x09-\x0D]*$')
+        AND regexp_matches(line, '[^\x00-\x7F][\x20\x09-\x0D]*$')) AS closed,
+    NOT regexp_matches(line, '[A-Za-z]') AND len(regexp_extract_all(line, '[\p{L}\p{M}]')) >= 10 AS unspaced,
     length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
   FROM l),
 f AS (
   SELECT *, CASE WHEN words = 0 THEN '' WHEN separators >= 3 AND words <= 4 * (separators + 1) THEN 'n'
     WHEN words <= 30 AND phrase THEN 'b'
     WHEN (symbols >= 3 AND 10 * symbols > words) OR (shouts >= 2 AND 5 * shouts >= words)
-      OR (words < 3 AND NOT closed) THEN 'p' ELSE '' END AS rule FROM m),
+      OR (words < 3 AND NOT closed AND NOT unspaced) THEN 'p' ELSE '' END AS rule FROM m),
 c AS (
   SELECT r, sum(chars)::BIGINT AS word_chars, sum(words)::BIGINT AS n_words,
     (count(*) FILTER (words > 0))::BIGINT AS n_lines,

@@ -5,8 +5,13 @@ A line with words fails by the first rule that holds:
 * navigation: three or more separators ``| » › •`` and at most four words for each part;
 * boilerplate: at most 30 words and one of ``BOILERPLATE``'s phrases;
 * punctuation: three or more symbols ``# * $ % & < >`` and more than one for ten words; or two or
-  more words that end in repeated ``!`` or ``?``, at least a fifth of the words; or fewer than three
-  words without closing punctuation.
+  more words that end in repeated ``!`` or ``?``, at least a fifth of the words; or a short line
+  without closing punctuation.
+
+A line is short with fewer than three words. Scripts without spaces have few words a line, so a line
+without ASCII letters is short only if it also has fewer than ``MIN_LETTERS`` letters and marks of other
+scripts. Closing punctuation is ``CLOSING`` and, beyond ASCII, whatever Unicode counts as closing, final
+or other punctuation, such as the full stops of Chinese, Devanagari and Arabic.
 
 Failed lines are removed. A document is rejected if it loses more than half of its word characters,
 and by two rules on the whole text: fewer than ten words, or more than a fifth of the words in
@@ -20,10 +25,12 @@ Each text is read whole. All work is one pass without a shuffle.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,17 +41,20 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 LOST_PERCENT = 50
+MIN_LETTERS = 10
 BOILERPLATE = (
     r"cookies?|privacy policy|terms of (?:use|service)|all rights reserved|javascript|subscribe"
     r"|sign (?:in|up)|log ?in|newsletter|click here|read more|share (?:on|this)|lorem ipsum|copyright"
 )
-CLOSING = ".!?:;,)]}\"'…»”’"
+CLOSING = ".!?:;,)]}\"'"
 
 _SEPARATOR = re.compile(rb"\||\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2")  # | » › •
 _SYMBOL = re.compile(rb"[#*$%&<>]")
 _SHOUT = re.compile(rb"[!?]{2,}(?=[\x20\x09-\x0D]|$)")
 _PHRASE = re.compile(rb"(?i)\b(?:" + BOILERPLATE.encode() + rb")\b")
 _CLOSED = tuple(c.encode() for c in CLOSING)
+_ASCII_LETTER = re.compile(rb"[A-Za-z]")
+_LETTER = regex.compile(r"[\p{L}\p{M}]")
 # What a text must contain for a rule to be able to hold on a line of three words or more.
 _SUSPECT = re.compile(rb"[|#*$%&<>]|[!?]{2}|\xc2\xbb|\xe2\x80[\xba\xa2]")
 
@@ -71,11 +81,26 @@ def failed_rule(line: bytes) -> str | None:
     shouts = len(_SHOUT.findall(line))
     if shouts >= 2 and 5 * shouts >= words:
         return "punctuation"
-    if words < 3 and not line.rstrip().endswith(_CLOSED):
+    if words < 3 and not _closed(line.rstrip()) and not _unspaced(line):
         return "punctuation"
     return None
 
 
+def _closed(line: bytes) -> bool:
+    """Whether a line without white space at its end has closing punctuation there."""
+    if line[-1] < 0x80:
+        return line.endswith(_CLOSED)
+    last = line[-4:].decode("utf-8", "ignore")[-1:]
+    return last != "" and unicodedata.category(last) in ("Po", "Pe", "Pf")
+
+
+def _unspaced(line: bytes) -> bool:
+    """Whether a line of few words holds enough letters of a script other than Latin."""
+    if _ASCII_LETTER.search(line):
+        return False
+    return len(_LETTER.findall(line.decode("utf-8", "replace"))) >= MIN_LETTERS
+
+
 def _word_chars(line: bytes) -> int:
     return len(b"".join(line.split()).decode("utf-8", "replace"))
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import xxhash
@@ -96,7 +97,11 @@ def failed_line(line):
     shouts = sum(bool(re.search(r"[!?]{2,}$", w)) for w in words)
     if shouts >= 2 and shouts * 5 >= len(words):
         return True
-    return len(words) < 3 and words[-1][-1] not in ".!?:;,)]}\"'…»”’"
+    last = words[-1][-1]
+    closed = last in ".!?:;,)]}\"'" or (last > "\x7f" and unicodedata.category(last) in ("Po", "Pe", "Pf"))
+    letters = sum(unicodedata.category(c)[0] in "LM" for c in line)
+    unspaced = letters >= 10 and not re.search("[A-Za-z]", line)
+    return len(words) < 3 and not closed and not unspaced
 
 
 def quality(text):

@@ -1,8 +1,10 @@
 """Line rules and verdicts against a plain version."""
 
+import duckdb
 import pytest
 
-from claimwright.llm import quality
+from claimwright.llm import q_quality, quality
+from tests.compare import differences
 from tests.llm import plain
 
 TEXTS = [
@@ -52,7 +54,7 @@ def test_clean_text_matches_plain_version(docs):
     assert sum(r.doc_id == 4 for r in got.collect()) == 2 and None in by_id
 
 
-@pytest.mark.parametrize("line", ["x" * 199, "x" * 5_000, "/long/path" * 30 + " " + "y" * 300, "字" * 100, "x" * 5_000 + "."])
+@pytest.mark.parametrize("line", ["x" * 199, "x" * 5_000, "/long/path" * 30 + " " + "y" * 300, "x" * 5_000 + "."])
 def test_long_lines_of_few_words(spark, line):
     """Lines of any length with fewer than three words fail unless they are closed."""
     text = "One sentence of twelve words stands beside the line in this text.\n" + line
@@ -66,6 +68,45 @@ def test_long_lines_of_few_words(spark, line):
     assert [r.text for r in quality.clean(docs).collect()] == [clean] * kept
 
 
+SCRIPTS = {
+    "chinese": ["今天天气很好我们一起去公园散步。", "他说明天还会下雨所以要带伞！", "你觉得这个办法怎么样呢？", "这一行没有标点但是是一句完整的话"],
+    "japanese": ["昨日は友達と映画を見に行きました。", "「とても面白かった」と彼は言った」", "次の週末も一緒に出かけましょう！"],
+    "thai": ["วันนี้อากาศดีมากเราไปเดินเล่นกัน", "พรุ่งนี้ฝนอาจจะตกอีกครั้งหนึ่ง"],
+    "devanagari": ["धन्यवाद।", "आजमौसमबहुतअच्छाहै", "चलो।"],
+}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_scripts_without_spaces(spark, script):
+    """Lines that are one word by their spaces, but sentences, stay."""
+    lines = SCRIPTS[script]
+    text = "\n".join(f"{line[:-1]}{i}{line[-1]}" if i else line for i in range(4) for line in lines)
+    text += "\n" + " ".join(f"w{i}" for i in range(10)) + "."
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = quality.quality(docs).collect()
+    assert (row.n_punctuation, row.lost_chars, row.kept) == (0, 0, True)
+    assert [r.text for r in quality.clean(docs).collect()] == [text] == [plain.quality(text)[3]]
+
+
+@pytest.mark.parametrize("line", ["首页", "次へ", "मेनू", "———————————————", "12345678901234567890", "字字字字字字字字字字x", "٠١٢٣٤٥٦٧٨٩"])
+def test_short_lines_of_any_script(spark, line):
+    """Too few letters, no letters, or ASCII letters among them: short without a closer."""
+    text = "One sentence of twelve words stands beside the line in this text.\n" + line
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = quality.quality(docs).collect()
+    assert row.n_punctuation == 1 and row.lost_chars == len(line) and plain.failed_line(line)
+
+
+def test_sql_knows_the_scripts(spark, tmp_path):
+    """The query's SQL on lines of all scripts, beside those of the other tests."""
+    texts = TEXTS + ["\n".join(lines) for lines in SCRIPTS.values()] + ["首页\n" + "字" * 100, "字" * 9 + "\n" + "字" * 10]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(q_quality.document_quality(spark, str(tmp_path)), connection, q_quality.SQL) is None
+
+
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     cleaned = {r.doc_id: r for r in quality.clean(docs).collect()}
