@@ -1,13 +1,23 @@
-"""op4: the words each document gives to a mix of all sources."""
+"""op4: the words each document gives to a mix of all sources, and its positions in the run."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimwright.llm.mixing import plan
 
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents range-sorted by the position of their first reading; those never read come last."""
     planned = plan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return planned.select("row.doc_id", "size", "source_size", "target", "taken")
+    return planned.select(
+        "row.doc_id",
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        F.try_element_at("positions", F.lit(1)).alias("first_position"),
+        F.try_element_at("positions", F.lit(-1)).alias("last_position"),
+    ).orderBy(F.col("first_position").asc_nulls_last(), "last_position")
 
 
 SQL = r"""
@@ -29,19 +39,27 @@ o AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 v AS (SELECT *, rest::DOUBLE / share::DOUBLE AS level FROM o),
 t AS (
-  SELECT source, source_size,
+  SELECT source, source_size, weight,
     least(most::DOUBLE, weight * (SELECT level FROM v WHERE level * weight <= most
       ORDER BY most::DOUBLE / weight::DOUBLE, source NULLS LAST LIMIT 1)) AS target
   FROM v),
 p AS (
   SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d)
-SELECT doc_id, size, source_size, target,
-  size * (
-    CASE WHEN 2 * start + size <= 2 * target THEN 1 ELSE 0 END
-    + CASE WHEN 2 * (source_size + start) + size <= 2 * target THEN 1 ELSE 0 END
-    + CASE WHEN 2 * (2 * source_size + start) + size <= 2 * target THEN 1 ELSE 0 END)::BIGINT AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d),
+m AS (
+  SELECT p.doc_id, p.size, t.source_size, t.target,
+    list_filter([2 * start + size, 2 * (t.source_size + start) + size, 2 * (2 * t.source_size + start) + size],
+      lambda twice: size > 0 AND twice <= 2 * target) AS middles,
+    CASE weight WHEN 1 THEN 1.5e0 WHEN 2 THEN 1e0 ELSE 0.5e0 END AS a,
+    CASE weight WHEN 1 THEN -1e0 WHEN 2 THEN 0e0 ELSE 1e0 END AS slope
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source),
+u AS (
+  SELECT *, middles[1]::DOUBLE / (2 * target) AS first_used, middles[-1]::DOUBLE / (2 * target) AS last_used
+  FROM m)
+SELECT doc_id, size, source_size, target, (size * len(middles))::BIGINT AS taken,
+  2 * first_used / (a + sqrt(a * a + 2 * slope * first_used)) AS first_position,
+  2 * last_used / (a + sqrt(a * a + 2 * slope * last_used)) AS last_position
+FROM u
 """
 
 QUERIES = {"op4_mixed_documents": (mixed_documents, SQL)}

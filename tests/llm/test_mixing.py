@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from claimwright.llm import mixing
+from claimwright.llm import mixing, q_mixing
 from tests.llm import plain
 
 
@@ -47,6 +47,19 @@ def test_reruns_agree_whatever_the_partitions(spark):
     assert once == again or sorted(map(str, once)) == sorted(map(str, again))
 
 
+def test_query_sorts_by_position(spark, sf_dir):
+    """The registered query computes positions and range-sorts by them; schedules change its result."""
+    query = q_mixing.mixed_documents(spark, sf_dir)
+    text = query._jdf.queryExecution().optimizedPlan().toString()
+    assert "SQRT" in text.upper() and "Sort [first_position" in text
+    rows = query.collect()
+    first = [r.first_position for r in rows if r.taken]
+    assert first == sorted(first) and all(r.first_position is None for r in rows if not r.taken)
+    assert all(0 < r.first_position <= r.last_position < 1 for r in rows if r.taken)
+    flat = mixing.plan(spark.read.parquet(f"{sf_dir}/documents.parquet"), schedules=((1.0, 1.0),)).collect()
+    assert sorted(p.positions[0] for p in flat if p.taken) != sorted(first)
+
+
 def test_schedules_move_the_sources(spark):
     rows = [(i, "w " * 10, "ab"[i % 2]) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
