@@ -7,7 +7,7 @@ from claimwright.llm.mixing import plan
 
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents range-sorted by the position of their first reading; those never read come last."""
+    """Documents range-sorted by the position of their first reading; those never read come last, by a hash."""
     planned = plan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return planned.select(
         "row.doc_id",
@@ -17,7 +17,7 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "taken",
         F.try_element_at("positions", F.lit(1)).alias("first_position"),
         F.try_element_at("positions", F.lit(-1)).alias("last_position"),
-    ).orderBy(F.col("first_position").asc_nulls_last(), "last_position")
+    ).orderBy(F.col("first_position").asc_nulls_last(), F.xxhash64("doc_id", "size"))
 
 
 SQL = r"""
