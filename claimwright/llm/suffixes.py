@@ -24,7 +24,7 @@ differ in both words next to the core share fewer than ``MIN_WORDS`` words.
 
 Results are merged spans of words per document. Spans that share ``MIN_WORDS`` words, directly or over
 other spans, have one ``component``: components are formed over classes, from the matches of step 3 and 4
-and from classes that follow each other inside a span, so copies cost one node. ``partner`` is one document
+and from classes of one span, so copies cost one node. ``partner`` is one document
 that shares the span's first passage; all others are those of the component.
 
 Defined cases: null texts and texts of fewer than ``MIN_WORDS`` words have no spans; a passage that
@@ -344,12 +344,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
     )
     # A document's spans: as many as it has suffixes at most. Those that overlap or touch are one.
     in_order = Window.partitionBy("doc").orderBy("first", "last", "class")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = spans.withColumn("_until", F.max("last").over(earlier)).withColumn("_before", F.lag("class").over(in_order))
+    until = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = spans.withColumn("_until", until)
     placed = placed.withColumn("_opens", F.col("_until").isNull() | (F.col("first") > F.col("_until")))
-    placed = settle(placed.withColumn("_island", F.count_if("_opens").over(in_order)), "placed")
+    placed = placed.withColumn("_island", F.count_if("_opens").over(in_order))
+    # Each class of a span is linked to the span's least: a chain of them would take rounds by its length.
+    least = F.min("class").over(Window.partitionBy("doc", "_island"))
+    placed = settle(placed.withColumn("_least", least), "placed")
     links = (
-        placed.filter("not _opens").select(F.col("class").alias("a"), F.col("_before").alias("b"))
+        placed.filter("class <> _least").select(F.col("class").alias("a"), F.col("_least").alias("b"))
         .unionByName(pairs.filter(reaches).select("a", "b"))
         .unionByName(exact.select(F.col("class").alias("a"), F.col("least").alias("b")))
     )
@@ -358,7 +361,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
         F.min("first").alias("first"),
         F.max("last").alias("last"),
         F.min(F.struct("first", "partner"))["partner"].alias("partner"),
-        F.min("class").alias("class"),
+        F.min("_least").alias("class"),
     )
     return salted_left_join(settle(merged, "spans"), roots, ["class"], hot_rows=HOT_CLASS).select(
         "doc.doc_id",
