@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from claimwright.functions import exact_mean, exact_sum, half_up, share
 from claimwright.operators import applications, features, history, quality, training
 from claimwright.operators import statistics as stats
+from claimwright.sources import derived
 from claimwright.session import (
+    JIT_BYTES,
     attach_lookup,
     discard_settled,
     salted_left_join,
@@ -231,3 +233,14 @@ def test_scans_of_the_claims(spark, sf_dir):
         frame.collect()
         plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert plan.count("lineitem.parquet") <= 1, name
+
+
+def test_claims_do_not_run_in_methods_that_are_only_interpreted(spark, sf_dir):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    for given, kept in (("65535", JIT_BYTES), ("4000", 4000)):
+        spark.conf.set(name, given)
+        try:
+            derived.claims_training(spark, sf_dir)
+            assert int(spark.conf.get(name)) == kept
+        finally:
+            spark.conf.set(name, str(JIT_BYTES))
