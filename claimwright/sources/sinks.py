@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,6 +13,9 @@ from claimwright.sources.published import publish
 from claimwright.sources.schemas import conform
 
 JDBC_BATCH = 500
+# Rows of a reconciled table per task, and the tasks that the copies of one key are dealt over first.
+TASK_KEYS = 250_000
+KEY_SALTS = 32
 
 
 def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -83,15 +87,22 @@ def copy_table(source: DataFrame, path: str, table: str | None = None) -> DataFr
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row counts of both sides, keys found on one side only, and whether all agree.
 
-    One pass over each side: rows are counted per key before the two are brought together,
-    so a key with very many copies is one row per task when it is shuffled.
+    One pass over each side, and one count for both. A key's rows are counted in up to ``KEY_SALTS`` tasks
+    before they are brought together, so a key with very many copies does not wait for one task. Both
+    shuffles have a number of partitions that grows with the target, a stored table whose rows the files'
+    footers tell: adaptive execution would put as many keys into a task as compress well.
     """
     keys = list(keys)
-    ours = source.groupBy(keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, "n", F.lit(0).alias("m"))
-    theirs = target.groupBy(keys).agg(F.count(F.lit(1)).alias("m")).select(
-        *keys, F.lit(0).alias("n"), "m"
+    spark = source.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(target.count() / TASK_KEYS))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    sides = source.select(*keys, one.alias("n"), none.alias("m")).unionByName(
+        target.select(*keys, none.alias("n"), one.alias("m"))
     )
-    both = ours.unionByName(theirs).groupBy(keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    counts = [F.sum("n").alias("n"), F.sum("m").alias("m")]
+    salted = sides.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(KEY_SALTS)))
+    near = salted.repartition(tasks, *keys, "_salt").groupBy(*keys, "_salt").agg(*counts).drop("_salt")
+    both = near.repartition(tasks, *keys).groupBy(keys).agg(*counts)
     totals = both.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("source_rows"),
         F.coalesce(F.sum("m"), F.lit(0)).alias("target_rows"),

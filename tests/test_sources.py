@@ -217,3 +217,15 @@ def test_a_copy_goes_on_with_what_is_left(spark, tmp_path, monkeypatch):
     assert published.copy_ranges(source, path, "id", [10, 60, 60, 80]) == []
     back = published.read_published(spark, path)
     assert back.drop("batch").exceptAll(source).isEmpty() and back.count() == 100
+
+
+def test_reconcile_spreads_keys_over_tasks_by_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_KEYS", 50)
+    source = spark.range(1000).selectExpr("if(id < 300, null, if(id < 500, 7, id)) AS k").repartition(5)
+    target = sinks.copy_table(source.filter("k IS NULL OR k <> 999"), str(tmp_path / "copied"))
+    found = sinks.reconcile(source, target, ["k"])
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert "20)" in found._jdf.queryExecution().executedPlan().toString()
+    row = found.first()
+    assert (row.source_rows, row.target_rows, row.missing_keys, row.extra_keys, row.differing_keys) == (1000, 999, 1, 0, 1)
+    assert row.matches is False
