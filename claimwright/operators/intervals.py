@@ -60,14 +60,16 @@ def overlap_counts(
 
     No pairs are formed: the ranges that overlap are those that start before the end, less those that end
     at or before the start. Both are running counts over the times of a key, which is cut into spans of
-    time (default: calendar months); counts run inside a span and are added up over the spans before it,
-    so no task sees a whole key. Empty or undefined ranges overlap nothing; null keys are equal.
+    time (default: calendar months); counts run inside a span from what the spans before it add up to, which
+    a row at its beginning carries, so no task sees a whole key. Pass the same frame as ``left`` and ``right``
+    for ranges among themselves: it is then computed once. Empty or undefined ranges overlap nothing; null keys are equal.
     """
     clash = {"_time", "_span", "_row", "_one", "_two", "_sign", "_order", name} & {*left.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are the join's own")
     keys = list(keys)
     rows = settle(left.withColumn("_row", F.monotonically_increasing_id()), "ranges")
+    others = rows if right is left else settle(right.select(*keys, start, end), "others")
     real = F.col(start) < F.col(end)
 
     def events(frame: DataFrame, time: str, order: int, one: Column, row: Column, sign: int) -> DataFrame:
@@ -83,27 +85,32 @@ def overlap_counts(
     none, probe = F.lit(None), F.col("_row")
     # At one time: ends first, then the question how many have ended, then how many have started, then starts.
     counted = [
-        events(right.select(*keys, start, end), end, 0, F.lit(1), none, -1),
+        events(others.select(*keys, start, end), end, 0, F.lit(1), none, -1),
         events(rows, start, 1, F.lit(0), probe, -1),
         events(rows, end, 2, F.lit(0), probe, 1),
-        events(right.select(*keys, start, end), start, 3, F.lit(1), none, 1),
+        events(others.select(*keys, start, end), start, 3, F.lit(1), none, 1),
     ]
     both = counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
     part = F.trunc(F.col("_time").cast("date"), "month") if span is None else span
-    both = settle(both.withColumn("_span", part), "events")
+    # Not stored: four narrow readings of stored ranges are less than what they would write.
+    both = both.withColumn("_span", part)
     by = [*keys, "_sign"]
     totals = both.groupBy(*by, "_span").agg(F.sum("_one").alias("_n"))
     earlier = Window.partitionBy(*by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    names = {k: f"_key{i}" for i, k in enumerate([*by, "_span"])}
-    carried = totals.withColumn("_carried", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n").withColumnsRenamed(names)
+    carried = totals.withColumn("_n", F.sum("_n").over(earlier)).filter("_n <> 0")
+    # A null time comes first, so what is carried counts for the whole span.
+    firsts = carried.select(
+        *keys,
+        F.lit(None).cast("timestamp").alias("_time"),
+        F.lit(-1).alias("_order"),
+        F.col("_n").alias("_one"),
+        F.lit(None).cast("long").alias("_row"),
+        "_sign",
+        "_span",
+    )
     # Starts count before the time, ends up to it: both by the order of the events at one time.
     inside = Window.partitionBy(*by, "_span").orderBy("_time", "_order").rangeBetween(Window.unboundedPreceding, 0)
-    asked = both.withColumn("_here", F.sum("_one").over(inside)).filter(F.col("_row").isNotNull())
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    answers = (
-        asked.join(carried, same)
-        .groupBy("_row")
-        .agg(F.sum(F.col("_sign") * (F.col("_here") + F.col("_carried"))).alias(name))
-    )
+    asked = both.unionByName(firsts).withColumn("_here", F.sum("_one").over(inside)).filter(F.col("_row").isNotNull())
+    answers = asked.groupBy("_row").agg(F.sum(F.col("_sign") * F.col("_here")).alias(name))
     found = rows.join(answers, "_row", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
     return found.drop("_row")

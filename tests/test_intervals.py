@@ -13,6 +13,8 @@ from claimwright.operators.intervals import overlap_counts, range_join
 START = datetime(2023, 12, 20)
 RANGES = "k string, a timestamp, b timestamp, n int"
 
+ORIGIN = datetime(2020, 1, 1)
+
 
 def ranges(seed, count):
     rng = random.Random(seed)
@@ -71,3 +73,16 @@ def test_exact_split_without_a_label_and_of_nothing(spark):
     flagged = features.exact_split(frame, ["k"], most=50)
     assert flagged.filter("is_train").count() == 1003 - 201 and flagged.count() == 1003
     assert features.exact_split(frame.limit(0), ["k"]).count() == 0
+
+
+def test_overlaps_among_themselves_read_the_ranges_once(spark):
+    rows = [(k, i, i + 1 + i % 45) for k in ("x", "y", None) for i in range(0, 120, 7)] * 2
+    frame = spark.createDataFrame(rows, "k string, i int, j int").selectExpr(
+        "k", "timestamp'2020-01-01' + make_interval(0,0,0,i) AS a", "timestamp'2020-01-01' + make_interval(0,0,0,j) AS b"
+    )
+    counted = overlap_counts(frame, frame, ["k"], "a", "b")
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    for row in counted.collect():
+        assert row.overlaps == sum(
+            1 for k, i, j in rows if k == row.k and i < (row.b - ORIGIN).days and j > (row.a - ORIGIN).days
+        )
