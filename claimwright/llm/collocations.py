@@ -42,7 +42,7 @@ SLICE_BYTES = 2 << 20
 SIEVE_BITS = 1 << 27
 # Entries that a task holds, and words of the corpus a bucket.
 HELD = 1 << 20
-BUCKET_WORDS = 1 << 21
+BUCKET_WORDS = 1 << 20
 _SALTS = 64
 
 _SEPARATES = np.zeros(256, dtype=bool)
@@ -159,35 +159,49 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _merged(batches: Iterator[pa.RecordBatch], length: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Merged stripes of blocks that come sorted by bucket; no more than one bucket is held."""
+    held, current = Stripes(length + 1, HELD), None
+    for batch in batches:
+        columns = [batch.column(n) for n in ("prefixes", "ends", "next", "counts")]
+        for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+            if bucket != current:
+                yield from _often(held, least)
+                current = bucket
+            prefixes, ends, following, counts = (c[i].values.to_numpy() for c in columns)
+            held.add(unpacked(prefixes.view(np.uint64), ends, following.view(np.uint64)), counts)
+    yield from _often(held, least)
+
+
+def _often(held: Stripes, least: int) -> Iterator[pa.RecordBatch]:
+    """What ``held`` has counted ``least`` times; nothing is left in it."""
+    found, counts = held.take()
+    often = counts >= least
+    for _, prefixes, ends, following, counts in blocks([c[often] for c in found], counts[often], 1):
+        if not len(ends):
+            continue
+        rows = prefixes.reshape(len(ends), -1).view(np.int64)
+        begins = np.concatenate([[0], ends])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows[:, 0]),
+                pa.array(list(rows[:, 1:]), pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(following.view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(counts)),
+                pa.array(np.maximum.reduceat(counts, begins[:-1])),
+            ],
+            ["lang_hash", "prefix", "next", "counts", "most"],
+        )
+
+
 def _merge(counted: DataFrame, length: int, least: int) -> DataFrame:
     """``lang_hash, prefix, next, counts, most`` of the merged stripes, with what occurs ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Stripes(length + 1, HELD)
-        for batch in batches:
-            columns = [batch.column(n) for n in ("prefixes", "ends", "next", "counts")]
-            for i in range(batch.num_rows):
-                prefixes, ends, following, counts = (c[i].values.to_numpy() for c in columns)
-                held.add(unpacked(prefixes.view(np.uint64), ends, following.view(np.uint64)), counts)
-        found, counts = held.take()
-        often = counts >= least
-        for _, prefixes, ends, following, counts in blocks([c[often] for c in found], counts[often], 1):
-            if not len(ends):
-                continue
-            rows = prefixes.reshape(len(ends), -1).view(np.int64)
-            begins = np.concatenate([[0], ends])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows[:, 0]),
-                    pa.array(list(rows[:, 1:]), pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(following.view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(counts)),
-                    pa.array(np.maximum.reduceat(counts, begins[:-1])),
-                ],
-                ["lang_hash", "prefix", "next", "counts", "most"],
-            )
+        yield from _merged(batches, length, least)
 
-    dealt = counted.repartition(F.col("bucket"))
+    # Sorted, so that a task into which several buckets are put holds one of them at a time.
+    dealt = counted.repartition(F.col("bucket")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "lang_hash long, prefix array<long>, next array<long>, counts array<long>, most long")
 
 

@@ -106,3 +106,21 @@ def test_sieve_forgets_nothing():
     hashes = np.random.default_rng(2).integers(0, 2**63, 3000).astype(np.uint64)
     sieve = stripes.Sieve(1 << 12, *stripes.Sieve.entries(hashes, 1 << 12))
     assert sieve.has(hashes).all() and not stripes.Sieve(1 << 12, *stripes.Sieve.entries(hashes[:3], 1 << 12)).has(hashes[9:]).all()
+
+
+def test_a_task_holds_one_bucket_at_a_time():
+    read = []
+
+    def batches():
+        for bucket in (0, 0, 1, 2):
+            read.append(bucket)
+            words = np.arange(3, dtype=np.uint64) + np.uint64(10 * bucket)
+            yield collocations._packed(
+                [(bucket, np.array([7, 7], dtype=np.uint64), np.array([3]), words, np.array([1, 2, 1]))]
+            )
+
+    merged = collocations._merged(batches(), 2, 2)
+    first = next(merged)
+    assert read == [0, 0, 1]
+    assert first.column("next").to_pylist() == [[0, 1, 2]] and first.column("counts").to_pylist() == [[2, 4, 2]]
+    assert [m.column("next").to_pylist() for m in merged] == [[[11]], [[21]]]
