@@ -9,7 +9,8 @@ around each of its segments in a table of all segments, and each match is verifi
 A pair of values one bit apart needs one lookup only, so balls hold the value itself and those with
 a set bit cleared. A segment value shared by more than ``BUCKET`` fingerprints is not a table entry;
 its fingerprints look up their whole ball instead, by equality, which finds the same links without
-comparing the members of the bucket with each other.
+comparing the members of the bucket with each other. The lookups are many times the fingerprints, so
+neither side of such a join is broadcast.
 
 Defined cases: a null text has no words; a text without words has fingerprint zero and is linked
 like any other; a text with fewer words than a shingle is one shingle. Repeated rows are copies. A
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from claimwright.llm.graph import components
 from claimwright.llm.text import slices
-from claimwright.session import settle
+from claimwright.session import settle, unbroadcast
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 # Fingerprints that may share a table entry; the links of fuller ones are found by equality.
@@ -133,7 +134,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -
     ).select("fingerprint", "segment", F.col("held").bitwiseXOR(F.col("bit")).alias("value"))
     fits = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= max_bits
     found = (
-        probes.join(table, ["segment", "value"])
+        unbroadcast(probes).join(table, ["segment", "value"])
         .filter((F.col("fingerprint") != F.col("other")) & fits)
         .select("fingerprint", "other")
     )
@@ -143,7 +144,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -
             "fingerprint", F.explode(F.array(*[F.lit(p) for p in _ball(max_bits)])).alias("bits")
         ).select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("bits")).alias("other"))
         found = found.unionByName(
-            whole.join(own.withColumnRenamed("fingerprint", "other"), "other", "left_semi")
+            whole.join(unbroadcast(own.withColumnRenamed("fingerprint", "other")), "other", "left_semi")
         )
     return found.select(
         F.least("fingerprint", "other").alias("a"), F.greatest("fingerprint", "other").alias("b")
@@ -162,12 +163,13 @@ def near_duplicates(
         prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), "distinct-prints"
     )
     roots = components(settle(links(groups, max_bits, bucket), "links"))
-    rooted = groups.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+    roots = unbroadcast(roots.withColumnRenamed("node", "fingerprint"))
+    rooted = groups.join(roots, "fingerprint", "left").select(
         "fingerprint", "smallest", F.coalesce("root", "fingerprint").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint", "left").select(
+    named = rooted.join(unbroadcast(least), "root").select("fingerprint", "component_id")
+    return prints.join(unbroadcast(named), "fingerprint", "left").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -195,10 +197,10 @@ def keep_one(
     rows = docs.select(
         identity.alias("doc_id"), F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row")
     )
-    once = rows.join(kept.filter("n = 1"), "doc_id", "left_semi").select("row.*")
+    once = rows.join(unbroadcast(kept.filter("n = 1")), "doc_id", "left_semi").select("row.*")
     repeated = kept.filter("n > 1")
     if repeated.isEmpty():
         return once
     return once.unionByName(
-        rows.join(repeated, "doc_id", "left_semi").select("row.*").dropDuplicates()
+        rows.join(unbroadcast(repeated), "doc_id", "left_semi").select("row.*").dropDuplicates()
     )

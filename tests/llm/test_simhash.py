@@ -1,12 +1,14 @@
 """Fingerprints, links and components against all pairs."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from claimwright.llm import simhash
 from claimwright.llm.graph import components
+from claimwright.session import settle
 from tests.llm import plain
 
 
@@ -99,6 +101,30 @@ def test_null_ids_and_empty_tables(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def joins(frame):
+    """Kind, first key and type of each join of the plan."""
+    return re.findall(r"(\w+Join) \[(\w+)#.*?, (\w+)(?:, |$)", plan_of(frame), re.M)
+
+
+def plan_of(frame):
+    return re.sub(r"Join \[([^]]*)\], \[[^]]*\]", r"Join [\1]", frame._jdf.queryExecution().executedPlan().toString())
+
+
+def test_lookups_are_not_broadcast(spark):
+    """A small table of fingerprints has many times as many lookups, which Spark takes for as small."""
+    rng = random.Random(9)
+    prints = settle(spark.createDataFrame([(signed(rng.getrandbits(64)),) for _ in range(300)], "fingerprint long"))
+    crowded = settle(prints.select(F.expr("fingerprint & -4294967296 | 5").alias("fingerprint")))
+    for frame, kinds in ((prints, {"Inner"}), (crowded, {"Inner", "LeftSemi"})):
+        # The full buckets are few and may be broadcast.
+        found = [(kind, key, how) for kind, key, how in joins(simhash.links(frame)) if (key, how) != ("segment", "LeftSemi")]
+        assert {how for _, _, how in found if how != "LeftAnti"} == kinds
+        assert {kind for kind, _, how in found if how != "LeftAnti"} == {"SortMergeJoin"}
+    docs = settle(spark.createDataFrame(corpus()[:80], "doc_id long, text string"))
+    for frame in (simhash.near_duplicates(docs), simhash.keep_one(docs)):
+        assert {*re.findall(r"\w+Join", plan_of(frame))} == {"SortMergeJoin"}
+
+
 def test_spark_hash_is_the_same(spark):
     row = spark.createDataFrame([("häst und hund",)], "t string").select(F.xxhash64("t")).first()
     assert row[0] == signed(simhash.shingle_hashes("häst und hund".encode(), 3)[0])
