@@ -174,11 +174,10 @@ def table_reconcile(spark, sf_dir):
 
 
 def csv_round_trip(spark, sf_dir):
-    """Training claims written as CSV and read back with dates parsed and nulls filled."""
+    """Training claims written as compressed CSV and read back with dates parsed and nulls filled."""
     path = scratch_path(spark, "training-csv")
-    sinks.write_csv(
-        schemas.conform(decisions.labelled(spark, sf_dir), "bpo_claims_training", False), path
-    )
+    claims = schemas.conform(decisions.labelled(spark, sf_dir), "bpo_claims_training", False)
+    sinks.write_csv(claims, path, compression="gzip")
     back = readers.read_training_csv(spark, path)
     return back.groupBy("rejection_category").agg(
         F.count(F.lit(1)).alias("claims"),

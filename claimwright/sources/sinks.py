@@ -18,8 +18,10 @@ TASK_KEYS = 250_000
 KEY_SALTS = 32
 
 
-def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    frame.write.mode(mode).option("header", True).csv(path)
+def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """CSV files with a header; Spark's readers tell a ``compression`` (gzip: at level 5) by the files' names."""
+    writer = frame.write.mode(mode).option("header", True).option("zlib.compress.level", "FIVE")
+    writer.csv(path, compression=compression)
 
 
 def write_table(

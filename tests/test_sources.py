@@ -1,7 +1,11 @@
+import gzip
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from claimwright.operators import applications, quality
+from claimwright.plans import quality as plans
 from claimwright.sources import catalog, published, readers, schemas, sinks
 
 
@@ -229,3 +233,24 @@ def test_reconcile_spreads_keys_over_tasks_by_the_rows(spark, tmp_path, monkeypa
     row = found.first()
     assert (row.source_rows, row.target_rows, row.missing_keys, row.extra_keys, row.differing_keys) == (1000, 999, 1, 0, 1)
     assert row.matches is False
+
+
+def test_csv_round_trip_stores_compressed_files(spark, sf_dir, monkeypatch):
+    """All claims are written and read, in far fewer bytes than their text has."""
+    written = []
+    monkeypatch.setattr(sinks, "write_csv", lambda f, p, *a, w=sinks.write_csv, **k: written.append((f, p)) or w(f, p, *a, **k))
+    found = plans.csv_round_trip(spark, sf_dir)
+    frame, path = written[0]
+    assert found.agg(F.sum("claims")).first()[0] == frame.count()
+    files = [f for f in Path(path).iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < sum(len(gzip.open(f).read()) for f in files) / 3
+
+
+def test_csv_keeps_odd_texts_when_compressed(spark, tmp_path):
+    rows = [("a,b", 1.5), ('say "x"', None), (None, 2.0), ("\u00e9", -0.0)]
+    frame = spark.createDataFrame(rows, "t string, v double")
+    for kind in ("none", "gzip"):
+        sinks.write_csv(frame, f"{tmp_path}/{kind}", compression=kind)
+        back = readers.read_csv(spark, f"{tmp_path}/{kind}", "t string, v double")
+        assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
